@@ -6,12 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jpeg import op10_media
+from .licenses import op3_licenses
+from .mixing import op2_mixing
+from .mtree import OP5_SQL, op5_topk
+from .packing import op8_packing
+from .secrets import op7_secrets
 from .simhash import op1_simhash
+from .suffix import op4_suffix
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {
+        "op1_simhash": op1_simhash,
+        "op2_mixing": op2_mixing,
+        "op3_licenses": op3_licenses,
+        "op4_suffix": op4_suffix,
+        "op5_topk": op5_topk,
+        "op7_secrets": op7_secrets,
+        "op8_packing": op8_packing,
+        "op10_media": op10_media,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_topk": OP5_SQL}
