@@ -3,12 +3,13 @@
 A byte goes if a string of ``width`` bytes that covers it also starts in a document of
 smaller id. Every string of that width holds a minimiser: its leftmost 16-gram of least
 hash. Strings that are equal have equal minimisers at equal places, so stretches of
-successive strings with one minimiser are sent to the shard of that minimiser's hash,
-and all equal strings meet there. Before that, a slice of the input settles what it can:
-of equal stretches only that of the smallest id goes out, the others are covered already.
+successive strings with one minimiser can be settled by themselves. First only hashes of
+minimisers travel, and tell which stretches have a minimiser that another document has
+too. Only those are sent on, to the shard of their minimiser, where all equal strings
+meet. Before each step a slice of the input settles what it can: of equal texts, and of
+equal stretches, only that of the smallest id goes out; the others are covered already.
 
-A shard drops minimisers of a single document, keeps each distinct stretch once, and
-builds suffix arrays over them: suffixes are classified, the leftmost smaller ones are
+A shard keeps each distinct stretch once and builds suffix arrays over them: suffixes are classified, the leftmost smaller ones are
 sorted by induction and named, equal names are told apart recursively, and the array is
 induced from them in linear time, bucket by bucket in numpy. Permuted common prefixes
 then give the runs of equal strings, and each run its smallest document.
@@ -28,14 +29,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import session_limits, slices, table, written
 
 WIDTH, GRAM = 50, 16
-SLICE = 8 << 20  #: bytes of text that a slice settles at once; positions in it fit 24 bits
-SHARD = 64 << 20  #: bytes of stretches that a shard is to hold
+SLICE = 2 << 20  #: bytes of text that a slice settles at once; positions in it fit 24 bits
+SHARD = 48 << 20  #: bytes of texts whose stretches or hashes a shard is to hold
 BATCH = 2 << 20  #: bytes of one suffix array, unless one minimiser needs more
 LAST = np.iinfo(np.int64).max
 
@@ -233,73 +235,136 @@ def _unpacked(x: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype=kind)
 
 
-_BLOB = ["shard", "docs", "marks", "doc", "start", "length", "place", "body"]
-_BLOB_SQL = "shard int, docs binary, marks binary, doc binary, start binary, length binary, place binary, body binary"
-
-
-def settle_slice(pieces: list[tuple[int, int, int, bytes]], shards: int, width: int = WIDTH) -> tuple[list[tuple[int, int, int, int]], list[dict]]:
-    """Intervals (ord, mark, start, end) known to be covered, and a blob a shard of what must be asked.
-
-    pieces: (ord, mark of the text, offset in the text, bytes), in any order.
+_ASK = ["shard", "docs", "marks", "doc", "number", "hash"]
+_SEND = ["shard", "docs", "marks", "doc", "start", "length", "place", "body"]
+
+
+def _blob_sql(names: list[str]) -> str:
+    return ", ".join(f"{n} {'int' if n == 'shard' else 'binary'}" for n in names)
+
+
+def _blobs(rows: list[dict], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, pa.schema([(n, pa.int32() if n == "shard" else pa.binary()) for n in names]))
+
+
+class Slice:
+    """Pieces (ord, mark of the text, offset in it, bytes) of some documents, laid end to end, with their stretches."""
+
+    def __init__(self, pieces: list[tuple], width: int):
+        pieces = sorted(pieces, key=lambda p: p[:3])
+        self.width = width
+        #: intervals of texts that equal one of a smaller id
+        self.covered: list[tuple[int, int, int, int]] = []
+        kept, seen = [], {}
+        for p in pieces:
+            if len(p[3]) < width:
+                continue
+            owner = seen.setdefault((p[2], p[3]), p)
+            if owner is p:
+                kept.append(p)
+            elif owner[0] < p[0]:
+                self.covered.append((p[0], p[1], p[2], p[2] + len(p[3])))
+            elif owner[:3] != p[:3]:
+                kept.append(p)
+        self.pieces = kept
+        self.raw = b"".join([p[3] for p in kept])
+        sizes = np.array([len(p[3]) for p in kept], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        self.begins = ends - sizes
+        valid = np.ones(len(self.raw), dtype=bool)
+        for e in ends.tolist():
+            valid[e - width + 1 : e] = False
+        self.first, last, self.place, self.hash = stretches(np.frombuffer(self.raw, dtype=np.uint8), valid, width)
+        self.end = last + width
+        self.doc = np.searchsorted(ends, self.first, side="right")
+        self.base = np.searchsorted(self.doc, np.arange(len(kept)))
+        self.ords = np.array([p[0] for p in kept], dtype=np.int64)
+        self.marks = np.array([p[1] for p in kept], dtype=np.uint32)
+        self.offsets = np.array([p[2] for p in kept], dtype=np.int64)
+        self.start = self.first - self.begins[self.doc] + self.offsets[self.doc] if len(kept) else self.first
+
+    def numbers(self) -> np.ndarray:
+        """A number for every stretch within its text, the same in any slice."""
+        return self.offsets[self.doc] * 2 + np.arange(len(self.doc)) - self.base[self.doc] if len(self.doc) else self.first
+
+    def by_shard(self, pick: np.ndarray, shards: int) -> Iterator[tuple[dict, np.ndarray]]:
+        """The part of a blob that tells whose stretches it holds, and the positions in ``pick``, for each shard."""
+        shard = (self.hash[pick] >> np.uint64(32)) % np.uint64(shards)
+        order = np.argsort(shard, kind="stable")
+        for idx in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if len(order) else ():
+            own, local = np.unique(self.doc[pick[idx]], return_inverse=True)
+            yield {"shard": int(shard[idx[0]]), "docs": _packed(np.diff(self.ords[own], prepend=0)), "marks": _packed(self.marks[own]), "doc": _packed(np.diff(local, prepend=0).astype(np.int32))}, idx
+
+
+def ask_slice(part: Slice, shards: int) -> list[dict]:
+    """A blob a shard of the minimisers' hashes."""
+    every, number = np.arange(len(part.doc)), part.numbers()
+    return [head | {"number": _packed(np.diff(number[idx], prepend=0)), "hash": _packed(part.hash[idx].astype(np.uint32))} for head, idx in part.by_shard(every, shards)]
+
+
+def send_slice(part: Slice, wanted: list[np.ndarray | None], shards: int) -> tuple[list[tuple[int, int, int, int]], list[dict]]:
+    """Intervals covered by stretches of smaller ids in the slice, and a blob a shard of the other wanted stretches.
+
+    wanted: for each piece the sorted numbers of the stretches to send.
     """
-    pieces = sorted(pieces, key=lambda p: (p[0], p[1], p[2]))
-    covered, kept, seen = [], [], {}
-    for p in pieces:
-        if len(p[3]) < width:
-            continue
-        owner = seen.setdefault(p[3], p)
-        if owner is p:
-            kept.append(p)
-        elif owner[0] < p[0]:
-            covered.append((p[0], p[1], p[2], p[2] + len(p[3])))
-        elif owner[:3] != p[:3]:  # same id or none: not covered, and told apart by its own rows
-            kept.append(p)
-    if not kept:
-        return covered, []
-    raw_bytes = b"".join(p[3] for p in kept)
-    raw = np.frombuffer(raw_bytes, dtype=np.uint8)
-    sizes = np.array([len(p[3]) for p in kept])
-    ends = np.cumsum(sizes)
-    begins = ends - sizes
-    of = np.repeat(np.arange(len(kept)), sizes)
-    valid = np.arange(len(raw)) + width <= ends[of]
-    first, last, place, h = stretches(raw, valid, width)
-    doc = of[first]
-    start = first - begins[doc] + np.array([p[2] for p in kept])[doc]
-    ords = np.array([p[0] for p in kept], dtype=np.int64)
-    marks = np.array([p[1] for p in kept], dtype=np.uint32)
-    known: dict[bytes, int] = {}
-    send, segments = [], []
-    for i, (a, b) in enumerate(zip(first.tolist(), (last + width).tolist())):
-        s = raw_bytes[a:b]
+    number, use = part.numbers(), np.zeros(len(part.doc), dtype=bool)
+    for i, w in enumerate(wanted):
+        if w is not None:
+            a, b = part.base[i], part.base[i + 1] if i + 1 < len(part.base) else len(part.doc)
+            use[a:b] = np.isin(number[a:b], w)
+    covered, known, send, segments = [], {}, [], []
+    ords, marks, doc = part.ords, part.marks, part.doc
+    for i in np.flatnonzero(use).tolist():
+        a, b = int(part.first[i]), int(part.end[i])
+        s = part.raw[a:b]
         j = known.setdefault(s, i)
         if j == i or ords[doc[j]] == ords[doc[i]]:
             send.append(i)
             segments.append(s)
         else:
-            covered.append((int(ords[doc[i]]), int(marks[doc[i]]), int(start[i]), int(start[i]) + b - a))
-    send = np.array(send, dtype=np.int64)
-    shard = (h[send] >> np.uint64(17)).astype(np.uint64) % np.uint64(shards)
+            at = int(part.start[i])
+            covered.append((int(ords[doc[i]]), int(marks[doc[i]]), at, at + b - a))
+    pick = np.array(send, dtype=np.int64)
     blobs = []
-    order = np.argsort(shard, kind="stable")
-    for idx in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-        pick = send[idx]
-        own, local = np.unique(doc[pick], return_inverse=True)
+    for head, idx in part.by_shard(pick, shards):
+        own = pick[idx]
         blobs.append(
-            {
-                "shard": int(shard[idx[0]]),
-                "docs": _packed(np.diff(ords[own], prepend=0)),
-                "marks": _packed(marks[own]),
-                "doc": _packed(np.diff(local, prepend=0).astype(np.int32)),
-                "start": _packed(start[pick].astype(np.int64 if start.max() > 2**31 - 1 else np.int32)),
-                "length": _packed((last[pick] + width - first[pick]).astype(np.int16)),
-                "place": _packed((place[pick] - first[pick]).astype(np.uint8)),
+            head
+            | {
+                "start": _packed(part.start[own].astype(np.int64)),
+                "length": _packed((part.end[own] - part.first[own]).astype(np.int16)),
+                "place": _packed((part.place[own] - part.first[own]).astype(np.uint8)),
                 "body": _pack_bytes(b"".join([segments[i] for i in idx.tolist()])),
             }
         )
     return covered, blobs
 
 
+def _owners(group: dict, i: int) -> tuple[np.ndarray, np.ndarray]:
+    doc = np.cumsum(_unpacked(group["doc"][i], np.int32))
+    return np.cumsum(_unpacked(group["docs"][i], np.int64))[doc], _unpacked(group["marks"][i], np.uint32).astype(np.int64)[doc]
+
+
+def shared_numbers(group: dict) -> tuple[list[int], list[int], list[bytes]]:
+    """Of the asked hashes those of several ids: per text, the numbers of its stretches."""
+    n = len(group["shard"])
+    owners = [_owners(group, i) for i in range(n)]
+    ords, marks = np.concatenate([o[0] for o in owners]), np.concatenate([o[1] for o in owners])
+    number = np.concatenate([np.cumsum(_unpacked(group["number"][i], np.int64)) for i in range(n)])
+    h = np.concatenate([_unpacked(group["hash"][i], np.uint32) for i in range(n)])
+    order = np.argsort(h, kind="stable")
+    heads = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1])))
+    several = np.minimum.reduceat(ords[order], heads) != np.maximum.reduceat(ords[order], heads)
+    hit = order[np.repeat(several, np.diff(np.append(heads, len(order))))]
+    if not len(hit):
+        return [], [], []
+    hit = hit[np.lexsort((number[hit], marks[hit], ords[hit]))]
+    o, m = ords[hit], marks[hit]
+    cuts = np.flatnonzero((o[1:] != o[:-1]) | (m[1:] != m[:-1])) + 1
+    at = np.concatenate(([0], cuts))
+    return o[at].tolist(), m[at].tolist(), [x.astype(np.int64).tobytes() for x in np.split(number[hit], cuts)]
+
+
 def _smallest(contents: list[bytes], owners: np.ndarray, width: int) -> np.ndarray:
     """For every window of every content, one after another: the smallest owner of an equal window."""
     t = np.frombuffer(b"\xff".join(contents) + b"\xff", dtype=np.uint8)
@@ -393,62 +458,103 @@ def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length:
     return ords[seg], marks[seg], start[seg] + inside[a], start[seg] + inside[b] + width
 
 
+def _pieces(doc_id: int | None, text: str | None, width: int) -> list[tuple]:
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    mark, step = zlib.crc32(raw), SLICE - width
+    starts = range(0, len(raw) - width + 1, step) if len(raw) > SLICE else (0,)
+    return [(LAST if doc_id is None else doc_id, mark, at, raw[at : at + step + width - 1] if len(raw) > SLICE else raw) for at in starts]
+
+
+def _covered_blob(covered: list[tuple[int, int, int, int]], turn: int) -> dict:
+    c = np.array(covered, dtype=np.int64)
+    return {"shard": -1 - turn % 4096, "docs": _packed(c[:, 0]), "marks": _packed(c[:, 1].astype(np.uint32)), "doc": b"", "start": _packed(c[:, 2]), "length": _packed(c[:, 3]), "place": b"", "body": b""}
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], width: int, extra: str | None) -> Iterator[list[tuple]]:
+    """Lists of pieces, each with the document's ``extra`` behind, of at most a slice."""
+    held, pieces = 0, []
+    for batch in batches:
+        more = batch.column(extra).to_pylist() if extra else [None] * batch.num_rows
+        for doc_id, text, x in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), more):
+            for p in _pieces(doc_id, text, width):
+                if held and held + len(p[3]) > SLICE:
+                    yield pieces
+                    held, pieces = 0, []
+                pieces.append((*p, x))
+                held += len(p[3])
+    if pieces:
+        yield pieces
+
+
 def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """ord, mark, start, end: covered bytes of the documents, in pieces that may overlap."""
-    session_limits(docs.sparkSession)
+    spark = docs.sparkSession
+    session_limits(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-int(total * 3.7) // SHARD), docs.sparkSession.sparkContext.defaultParallelism)
+    shards = max(-(-total // SHARD), spark.sparkContext.defaultParallelism)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: list[tuple[int, int, int, bytes]] = []
-        held, turn = 0, 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal pieces, held, turn
-            covered, blobs = settle_slice(pieces, shards, width)
-            if covered:
-                c = np.array(covered, dtype=np.int64)
-                blobs.append({"shard": -1 - turn % 4096, "docs": _packed(c[:, 0]), "marks": _packed(c[:, 1].astype(np.uint32)), "doc": b"", "start": _packed(c[:, 2]), "length": _packed(c[:, 3]), "place": b"", "body": b""})
-            pieces, held, turn = [], 0, turn + 1
-            return pa.RecordBatch.from_pylist(blobs, pa.schema([("shard", pa.int32()), *((n, pa.binary()) for n in _BLOB[1:])]))
-
-        from pyspark import TaskContext
+        turn = TaskContext.get().partitionId() * 64
+        for pieces in _sliced(batches, width, None):
+            part, turn = Slice(pieces, width), turn + 1
+            rows = ask_slice(part, shards)
+            if part.covered:
+                own = _covered_blob(part.covered, turn)
+                rows.append({n: own[m] for n, m in zip(_ASK, ("shard", "docs", "marks", "doc", "start", "length"))})
+            yield _blobs(rows, _ASK)
+
+    def tell(group: pa.Table) -> pa.Table:
+        parts = {c: group.column(c).to_pylist() for c in _ASK}
+        if parts["shard"][0] < 0:
+            cols = [np.concatenate([_unpacked(x, k).astype(np.int64) for x in parts[c]]) for c, k in (("docs", np.int64), ("marks", np.uint32), ("number", np.int64), ("hash", np.int64))]
+            return pa.table([pa.array(c, pa.int64()) for c in cols] + [pa.nulls(len(cols[0]), pa.binary())], names=["ord", "mark", "start", "end", "numbers"])
+        o, m, n = shared_numbers(parts)
+        none = pa.nulls(len(o), pa.int64())
+        return pa.table([pa.array(o, pa.int64()), pa.array(m, pa.int64()), none, none, pa.array(n, pa.binary())], names=["ord", "mark", "start", "end", "numbers"])
 
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId() * 64
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                raw = (text or "").encode("utf-8", "surrogatepass")
-                mark, step = zlib.crc32(raw), SLICE - width
-                for at in range(0, max(1, len(raw) - width + 1), step) if len(raw) > SLICE else (0,):
-                    piece = raw[at : at + step + width - 1] if len(raw) > SLICE else raw
-                    if held and held + len(piece) > SLICE:
-                        yield flush()
-                    pieces.append((LAST if doc_id is None else doc_id, mark, at, piece))
-                    held += len(piece)
-        if pieces:
-            yield flush()
+        for pieces in _sliced(batches, width, "numbers"):
+            part = Slice(pieces, width)
+            wanted = [np.frombuffer(b"".join(p[4]), dtype=np.int64) if p[4] else None for p in part.pieces]
+            covered, blobs = send_slice(part, wanted, shards)
+            covered += part.covered
+            turn += 1
+            yield _blobs(blobs + ([_covered_blob(covered, turn)] if covered else []), _SEND)
 
     def answer(group: pa.Table) -> pa.Table:
-        names, rows = ["ord", "mark", "start", "end"], []
-        parts = {n: group.column(n).to_pylist() for n in _BLOB}
-        if parts["shard"][0] < 0:
-            for i in range(group.num_rows):
-                rows.append((_unpacked(parts["docs"][i], np.int64), _unpacked(parts["marks"][i], np.uint32).astype(np.int64), _unpacked(parts["start"][i], np.int64), _unpacked(parts["length"][i], np.int64)))
-            cols = [np.concatenate(c) for c in zip(*rows)]
-        else:
-            bodies = []
-            for i in range(group.num_rows):
-                n = _unpacked(parts["length"][i], np.int16).astype(np.int64)
-                doc = np.cumsum(_unpacked(parts["doc"][i], np.int32))
-                start = zstandard.ZstdDecompressor().decompress(parts["start"][i])
-                start = np.frombuffer(start, dtype=np.int32 if len(start) == 4 * len(n) else np.int64).astype(np.int64)
-                rows.append((np.cumsum(_unpacked(parts["docs"][i], np.int64))[doc], _unpacked(parts["marks"][i], np.uint32).astype(np.int64)[doc], start, n, _unpacked(parts["place"][i], np.uint8).astype(np.int64)))
-                bodies.append(zstandard.ZstdDecompressor().decompress(parts["body"][i]))
-            cols = list(settle_shard(*[np.concatenate(c) for c in zip(*rows)], b"".join(bodies), width))
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=names)
+        parts, rows = {n: group.column(n).to_pylist() for n in _SEND}, []
+        for i in range(group.num_rows):
+            n = _unpacked(parts["length"][i], np.int64 if parts["shard"][i] < 0 else np.int16).astype(np.int64)
+            start = _unpacked(parts["start"][i], np.int64)
+            if parts["shard"][i] < 0:
+                rows.append((_unpacked(parts["docs"][i], np.int64), _unpacked(parts["marks"][i], np.uint32).astype(np.int64), start, n))
+            else:
+                rows.append((*_owners(parts, i), start, n, _unpacked(parts["place"][i], np.uint8).astype(np.int64)))
+        cols = [np.concatenate(c) for c in zip(*rows)]
+        if parts["shard"][0] >= 0:
+            cols = settle_shard(*cols, b"".join(zstandard.ZstdDecompressor().decompress(b) for b in parts["body"]), width)
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["ord", "mark", "start", "end"])
+
+    asked = docs.select("doc_id", "text").mapInArrow(ask, _blob_sql(_ASK))
+    told = written(asked.groupBy("shard").applyInArrow(tell, "ord long, mark long, start long, end long, numbers binary"), "numbers")
+    release(spark)
+    wanted = told.where("numbers is not null").groupBy("ord", "mark").agg(F.collect_list("numbers").alias("numbers"))
+    texts = _keyed(docs).join(wanted, ["ord", "mark"]).select("doc_id", "text", "numbers")
+    sent = texts.mapInArrow(send, _blob_sql(_SEND))
+    answers = sent.groupBy("shard").applyInArrow(answer, "ord long, mark long, start long, end long")
+    return answers.unionByName(told.where("numbers is null").drop("numbers"))
+
+
+def release(spark) -> None:
+    """Let go of shuffle files that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
 
-    asked = docs.select("doc_id", "text").mapInArrow(ask, _BLOB_SQL)
-    return asked.groupBy("shard").applyInArrow(answer, "ord long, mark long, start long, end long")
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.crc32(text).alias("mark"))
 
 
 def cut_out(raw: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -470,9 +576,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, kept (binary), n_bytes, n_removed, n_spans of every document."""
     spark = docs.sparkSession
     found = written(intervals(docs, width).groupBy("ord", "mark").agg(F.collect_set(F.struct("start", "end")).alias("found")), "intervals")
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # lets go of the shuffled stretches before texts are shuffled
-    texts = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("mark"))
+    release(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
@@ -484,7 +588,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=["doc_id", "kept", "n_removed", "n_spans", "n_bytes"])
 
-    both = texts.join(found, ["ord", "mark"], "left").select("doc_id", "text", "found")
+    both = _keyed(docs).join(found, ["ord", "mark"], "left").select("doc_id", "text", "found")
     return both.mapInArrow(run, "doc_id long, kept binary, n_removed long, n_spans long, n_bytes long")
 
 
