@@ -132,6 +132,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     return rows.groupBy("source", "bucket").applyInPandas(run, "doc_id long, source string, size long, source_size long, target double, copies long")
 
 
+def taken(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """``docs``, all columns kept, each row as often as the mix takes it.
+
+    Rows that share an id take the copies of the row of that id and size.
+    """
+    mixed = mix(docs, weights, share, most).groupBy("doc_id", "size").agg(F.max("copies").alias("_copies"))
+    columns = docs.columns
+    rows = docs.withColumn("_size", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")).alias("a")
+    both = rows.join(mixed.where("_copies > 0").alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("_size") == F.col("b.size")))
+    return both.select(*[F.col(f"a.{c}") for c in columns], F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy")).drop("_copy")
+
+
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

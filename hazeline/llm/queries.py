@@ -11,9 +11,11 @@ from .licenses import op3_licenses
 from .mixing import op2_mixing
 from .mtree import OP5_SQL, op5_topk
 from .packing import op8_packing
+from .quality import op9_quality
 from .secrets import op7_secrets
 from .simhash import op1_simhash
 from .suffix import op4_suffix
+from .suffixtree import op6_suffixtree
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,8 +25,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_licenses": op3_licenses,
         "op4_suffix": op4_suffix,
         "op5_topk": op5_topk,
+        "op6_suffixtree": op6_suffixtree,
         "op7_secrets": op7_secrets,
         "op8_packing": op8_packing,
+        "op9_quality": op9_quality,
         "op10_media": op10_media,
     }
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import session_limits, slices, table, written
+from .common import key_columns, session_limits, slices, table, written
 
 BLOCK = 131_072  #: fingerprints in a block; a task holds two blocks
 TILE = 256  #: fingerprints in a tile
@@ -252,5 +252,29 @@ def near_duplicates(docs: DataFrame, width: int = 4, radius: int = 4) -> DataFra
     return prints.join(ids, "f0").select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def representatives(docs: DataFrame, width: int = 5, similarity: float = 0.8, n_words: int = 4) -> DataFrame:
+    """One row of each group of near duplicates in ``docs``, all columns kept: that of smallest doc_id.
+
+    Documents link if their fingerprints of 64 * n_words bits agree in at least
+    ``similarity`` of the bits and their shingle counts differ by no more than that
+    factor, which any two sets of that Jaccard similarity fulfil. Rows without doc_id
+    stand behind all others; of rows alike in id one stays.
+    """
+    radius = int((1 - similarity) * 64 * n_words + 1e-9)
+    names = [f"f{i}" for i in range(n_words)]
+    keyed = key_columns(docs.select("doc_id", "text")).select("_noid", "_id", "text")
+    prints = written(fingerprints(keyed, width, n_words), "prints")
+    node = F.xxhash64(*names, "n_shingles")
+    size_class = F.floor(F.log(F.greatest(F.col("n_shingles"), F.lit(1)).cast("double")) / float(-np.log(similarity))).cast("int")
+    first = F.min(F.struct("_noid", "_id")).alias("first")
+    distinct = written(prints.groupBy(*names, "n_shingles").agg(first).withColumns({"node": node, "cls": size_class}), "distinct")
+    roots = components(links(distinct.select("node", *names, "n_shingles", "cls"), n_words, radius, 1, similarity))
+    placed = distinct.join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
+    stay = placed.groupBy("root").agg(F.min("first").alias("first")).select("first._noid", "first._id")
+    columns = docs.columns
+    rows = key_columns(docs).join(stay, ["_noid", "_id"])
+    return rows.dropDuplicates(["_noid", "_id"]).select(*columns)
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
