@@ -1,15 +1,587 @@
-"""One place that knows every query of the engine itself."""
+"""Every query of the engine itself, each beside the SQL that it is held against.
+
+A query is registered with its Spark function; SQL is left out where the operator has no
+SQL form (spans, DOM text, chunks), and tests stand in for it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hazeline.functions import lexicon as lex
+from hazeline.functions import patterns as pat
+from hazeline.operators import alerts, corpus, entities, evaluation, graph, labeling, relations, risk, sampling, texts, urls
+from hazeline.plans import feeds_sql
+from hazeline.plans.corpus import DOCS_SQL, UNIQUE_SQL, docs, unique_docs
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- shared SQL --------------------------------------------------------------------
+
+_TXT = f"WITH uniq AS ({UNIQUE_SQL}), txt AS (SELECT *, coalesce(content, '') AS body, concat(coalesce(title, ''), ' ', coalesce(content, '')) AS combined FROM uniq)"
+_FIRED = f"{_TXT}, fired AS (SELECT *, {', '.join(f'({x.sql}) AS lf_{x.name}' for x in labeling.LABELERS)} FROM txt)"
+_votes = ", ".join(f"({' + '.join(f'CAST(lf_{x.name} AS INT)' for x in own)}) AS votes_{c}" for c, own in labeling.VOTERS.items())
+_CONF = f"{_FIRED}, votes AS (SELECT *, {_votes} FROM fired), conf AS (SELECT *, {', '.join(f'CASE WHEN round(votes_{c} / {len(own)}.0e0, 4) >= 0.3 THEN round(votes_{c} / {len(own)}.0e0, 4) END AS conf_{c}' for c, own in labeling.VOTERS.items())} FROM votes)"
+_LABELS = _CONF + ", labels_long AS (" + " UNION ALL ".join(f"SELECT id, '{c}' AS label, votes_{c} AS votes, conf_{c} AS confidence FROM conf WHERE conf_{c} IS NOT NULL" for c in lex.CATEGORIES) + ")"
+
+
+def _all(pattern: str, on: str = "body", group: int | None = None) -> str:
+    return f"regexp_extract_all({on}, '{pattern}'{'' if group is None else f', {group}'})"
+
+
+_NO_URLS = r"regexp_replace(body, 'https?://\S+', ' ', 'g')"
+_FOUND = {"cve_id": _all(pat.CVE_ENTITY), "ipv4": _all(pat.IPV4_WORD), "ipv6": _all(pat.IPV6), "domain": _all(pat.DOMAIN_RE2, _NO_URLS), "email": _all(pat.EMAIL), **{k: _all(p, _NO_URLS) for k, p in (("md5", pat.MD5), ("sha1", pat.SHA1), ("sha256", pat.SHA256))}}
+_CVSS = " || ".join(["" + _all(p, group=1) for p in (pat.CVSS_VALUE, *(q.replace("$", r"\z") for q in pat.CVSS_OTHER))])
+_FOUND["cvss_score"] = f"({_CVSS})"
+_distinct = lambda x: f"list_distinct(list_transform({x}, lambda v: lower(v)))"
+_VALUES = _TXT + ", vals AS (" + " UNION ALL ".join(f"SELECT ord, id, '{k}' AS type, unnest({_distinct(x)}) AS value FROM txt" for k, x in _FOUND.items()) + ")"
+_sure = lambda c: f"coalesce(conf_{c} >= 0.3, FALSE)"
+_RISK = f"""{_CONF}, sums AS (
+  SELECT *, len({_distinct(_FOUND['cve_id'])}) AS cve_count, len({_distinct(_FOUND['ipv4'])}) + len({_distinct(_FOUND['ipv6'])}) + len({_distinct(_FOUND['domain'])}) AS net,
+    len({_distinct(_FOUND['md5'])}) + len({_distinct(_FOUND['sha1'])}) + len({_distinct(_FOUND['sha256'])}) AS hash_count,
+    list_max(list_filter(list_transform({_FOUND['cvss_score']}, lambda v: try_cast(v AS DOUBLE)), lambda v: v >= 0 AND v <= 10)) AS cvss_score
+  FROM conf), sig AS (
+  SELECT *, {_sure('exploit')} OR regexp_matches(body, '{pat.any_of(lex.EXPLOIT_READY)}') AS exploit_available,
+    regexp_matches(body, '{pat.any_of(lex.ACTIVE)}') AS actively_exploited,
+    regexp_matches(body, '{pat.CRITICAL}') OR coalesce(cvss_score >= 9, FALSE) AS severity_critical,
+    {_sure('ransomware')} AS ransomware_mentioned, coalesce(cvss_score >= 7, FALSE) AS high_cvss,
+    CASE WHEN net + hash_count > 10 THEN 'high' WHEN net + hash_count > 3 THEN 'medium' WHEN net + hash_count > 0 THEN 'low' ELSE 'none' END AS ioc_density,
+    {_sure('vulnerability')} AS vulnerability_in_labels
+  FROM sums), risk AS (
+  SELECT *, round(least(CASE WHEN exploit_available THEN 0.15e0 ELSE 0 END + CASE WHEN actively_exploited THEN 0.2e0 ELSE 0 END + CASE WHEN severity_critical THEN 0.15e0 ELSE 0 END
+      + CASE WHEN ransomware_mentioned THEN 0.15e0 ELSE 0 END + CASE WHEN high_cvss THEN 0.1e0 ELSE 0 END
+      + CASE ioc_density WHEN 'high' THEN 0.15e0 WHEN 'medium' THEN 0.1e0 WHEN 'low' THEN 0.05e0 ELSE 0 END + 0.05e0 * least(cve_count, 3) + 0.02e0 * least(hash_count, 5), 1.0e0), 4) AS risk_score,
+    CASE WHEN (actively_exploited AND (exploit_available OR severity_critical)) OR (ransomware_mentioned AND exploit_available) THEN 'critical'
+      WHEN exploit_available OR severity_critical OR ransomware_mentioned OR actively_exploited THEN 'high'
+      WHEN vulnerability_in_labels OR ioc_density IN ('medium', 'high') OR cve_count > 0 THEN 'medium' ELSE 'low' END AS risk_tier
+  FROM sig)"""
+
+
+def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with labels, summary and risk: built-in functions only, one shuffle (the dedup)."""
+    return risk.assess(entities.summarised(labeling.confidences(unique_docs(spark, sf_dir))))
+
+
+# --- labels ------------------------------------------------------------------------
+
+
+@query(f"{_RISK} SELECT source, risk_tier, count(*) AS documents FROM risk GROUP BY ALL")
+def risk_by_source(spark, sf_dir):
+    return enriched(spark, sf_dir).groupBy("source", "risk_tier").agg(F.count("*").alias("documents"))
+
+
+@query(f"{_LABELS} SELECT id, label, votes, confidence FROM labels_long")
+def label_confidence(spark, sf_dir):
+    return labeling.long_labels(unique_docs(spark, sf_dir))
+
+
+@query(f"{_LABELS} SELECT label, count(*) AS documents, round(avg(confidence), 3) AS avg_confidence FROM labels_long GROUP BY label")
+def label_stats(spark, sf_dir):
+    return corpus.label_stats(labeling.long_labels(unique_docs(spark, sf_dir)))
+
+
+@query(_FIRED + " " + " UNION ALL ".join(f"SELECT '{x.name}' AS labeler, '{x.label}' AS label, CAST(coalesce(sum(CAST(lf_{x.name} AS INT)), 0) AS BIGINT) AS fired FROM fired" for x in labeling.LABELERS))
+def labeler_coverage(spark, sf_dir):
+    return labeling.coverage(unique_docs(spark, sf_dir))
+
+
+@query(_FIRED + ", votes AS (SELECT *, " + _votes + " FROM fired) SELECT id, " + ", ".join(f"votes_{c}" for c in lex.CATEGORIES) + " FROM votes")
+def label_votes(spark, sf_dir):
+    return labeling.votes(unique_docs(spark, sf_dir)).select("id", *[f"votes_{c}" for c in lex.CATEGORIES])
+
+
+@query(f"{_LABELS}, c AS (SELECT id, string_agg(label, '+' ORDER BY label) AS combination FROM labels_long GROUP BY id) SELECT combination, count(*) AS documents FROM c GROUP BY combination")
+def label_combinations(spark, sf_dir):
+    return corpus.label_combinations(labeling.long_labels(unique_docs(spark, sf_dir)))
+
+
+@query(f"{_LABELS}, m AS (SELECT id, string_agg(concat(label, '=', CAST(confidence AS STRING)), ',' ORDER BY label) AS labels FROM labels_long GROUP BY id) SELECT u.id, coalesce(m.labels, 'unknown=0.0') AS labels FROM uniq u LEFT JOIN m USING (id)")
+def label_map(spark, sf_dir):
+    rows = labeling.label_map(labeling.confidences(unique_docs(spark, sf_dir)), unknown=True)
+    pairs = F.array_sort(F.transform(F.map_entries("predicted_labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    return rows.select("id", F.array_join(pairs, ",").alias("labels"))
+
+
+# --- entities ----------------------------------------------------------------------
+
+
+@query(f"{_VALUES} SELECT ord, id, type, value FROM vals")
+def entity_values(spark, sf_dir):
+    return entities.long_values(unique_docs(spark, sf_dir))
+
+
+@query(f"{_VALUES} SELECT type, count(*) AS n FROM vals GROUP BY type")
+def entity_type_counts(spark, sf_dir):
+    return entities.long_values(unique_docs(spark, sf_dir)).groupBy("type").agg(F.count("*").alias("n"))
+
+
+_BOARDS = {"cve_id": "cve", "ipv4": "ip", "ipv6": "ip", "domain": "domain"}
+_board = "CASE " + " ".join(f"WHEN type = '{k}' THEN '{v}'" for k, v in _BOARDS.items()) + " END"
+
+
+@query(f"{_VALUES}, b AS (SELECT {_board} AS board, value, count(*) AS n, min(ord) AS first_at FROM vals WHERE {_board} IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY n DESC, first_at, value) AS rank FROM b) SELECT board, value, n, CAST(rank AS INT) AS rank FROM r WHERE rank <= 20")
+def top_values(spark, sf_dir):
+    return corpus.top_values(entities.long_values(unique_docs(spark, sf_dir)).withColumn("start_pos", F.lit(0)), _BOARDS)
+
+
+@query(f"{_TXT} SELECT id, {', '.join(f'len({_distinct(x)}) AS n_{k}' for k, x in _FOUND.items())} FROM txt")
+def entity_summary(spark, sf_dir):
+    rows = entities.summarised(unique_docs(spark, sf_dir))
+    return rows.select("id", *[F.size(f"v_{k}").cast("long").alias(f"n_{k}") for k in _FOUND])
+
+
+@query()
+def entity_spans(spark, sf_dir):
+    texts_ = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), F.col("text").alias("content"))
+    return entities.spans(unique_docs(spark, sf_dir).select("ord", "id", "content").unionByName(texts_))
+
+
+@query(f"SELECT doc_id, unnest(regexp_extract_all(text, '{pat.EMAIL}')) AS email FROM documents")
+def document_emails(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pat.EMAIL), F.lit(0))).alias("email"))
+
+
+@query(f"SELECT doc_id, unnest(regexp_extract_all(text, '{pat.IPV4_WORD}')) AS ipv4 FROM documents")
+def document_ipv4(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(pat.IPV4), F.lit(0))).alias("ipv4"))
+
+
+@query()
+def ner_names(spark, sf_dir):
+    return entities.ner(unique_docs(spark, sf_dir))
+
+
+@query()
+def merged_entities(spark, sf_dir):
+    return entities.merged(unique_docs(spark, sf_dir))
+
+
+_ALIASES = ", ".join(f"('{kind}', '{a}', '{n}')" for kind, names in lex.ALIAS_GROUPS.items() for a, n in sorted(names.items()))
+_MENTIONS = "SELECT event_id AS ord, concat('u', CAST(user_id AS STRING)) AS id, CASE event_id % 3 WHEN 0 THEN 'organization' WHEN 1 THEN 'threat_actor' ELSE 'malware' END AS type, CASE event_id % 9 WHEN 0 THEN ' MSFT' WHEN 1 THEN 'Cozy Bear' WHEN 2 THEN 'lockbit 3.0' WHEN 3 THEN 'aws' WHEN 4 THEN 'APT35 ' WHEN 5 THEN 'CL0P' WHEN 6 THEN 'Acme' WHEN 7 THEN 'the dukes' ELSE 'qbot' END AS value, event_id AS place, CASE event_id % 4 WHEN 0 THEN NULL ELSE CAST(event_id % 4 AS DOUBLE) / 4 END AS score FROM events"
+
+
+def _mentions(spark, sf_dir):
+    return spark.sql(_MENTIONS.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
+
+
+_CANON = f"WITH m AS ({_MENTIONS}), a(type, alias, name) AS (VALUES {_ALIASES}), c AS (SELECT m.*, coalesce(a.name, m.value) AS canonical_value FROM m LEFT JOIN a ON a.type = m.type AND a.alias = lower(trim(m.value)))"
+
+
+@query(f"{_CANON} SELECT ord, type, value, canonical_value FROM c")
+def canonical_entities(spark, sf_dir):
+    return entities.canonical(_mentions(spark, sf_dir)).select("ord", "type", "value", "canonical_value")
+
+
+@query(f"{_CANON}, w AS (SELECT *, row_number() OVER (PARTITION BY id, type, canonical_value ORDER BY coalesce(score, 0) DESC, place) AS nth, min(place) OVER (PARTITION BY id, type, canonical_value) AS first_place FROM c) SELECT id, type, canonical_value, value, score, first_place AS place FROM w WHERE nth = 1")
+def canonical_dedupe(spark, sf_dir):
+    return entities.canonical_once(entities.canonical(_mentions(spark, sf_dir))).select("id", "type", "canonical_value", "value", "score", "place")
+
+
+_SPANS = "SELECT event_id AS ord, concat('u', CAST(user_id AS STRING)) AS id, CASE event_id % 2 WHEN 0 THEN 'malware' ELSE 'system' END AS type, CAST(event_id % 400 AS INT) AS start_pos, CAST(event_id % 400 + 3 + event_id % 7 AS INT) AS end_pos, CAST(event_id % 5 AS DOUBLE) / 5 AS score FROM events"
+
+
+def _synthetic_spans(spark, sf_dir):
+    return spark.sql(_SPANS.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
+
+
+@query(f"""WITH s AS ({_SPANS}), r AS (SELECT *, max(end_pos) OVER (PARTITION BY id, type ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM s),
+i AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_pos > reach THEN 1 ELSE 0 END) OVER (PARTITION BY id, type ORDER BY start_pos, end_pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM r)
+SELECT id, type, min(start_pos) AS start_pos, max(end_pos) AS end_pos, max(score) AS score FROM i GROUP BY id, type, island""")
+def ner_islands(spark, sf_dir):
+    rows = _synthetic_spans(spark, sf_dir).withColumn("ord", F.lit(0))
+    return entities.islands(rows).select("id", "type", "start_pos", "end_pos", "score")
+
+
+@query(f"WITH s AS ({_SPANS}), a AS (SELECT * FROM s WHERE ord % 3 = 0), b AS (SELECT * FROM s WHERE ord % 3 = 1) SELECT a.ord, a.id, a.start_pos, a.end_pos FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.id = a.id AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)")
+def ner_interval_antijoin(spark, sf_dir):
+    s = _synthetic_spans(spark, sf_dir)
+    return entities.without_overlap(s.where("ord % 3 = 0"), s.where("ord % 3 = 1")).select("ord", "id", "start_pos", "end_pos")
+
+
+@query(f"WITH s AS (SELECT ord AS place, * FROM ({_SPANS})) SELECT a.ord AS a_place, b.ord AS b_place, a.id FROM s a JOIN s b ON a.id = b.id AND a.ord <> b.ord AND a.start_pos - b.end_pos <= 200 AND b.start_pos - a.end_pos <= 200")
+def near_pairs(spark, sf_dir):
+    rows = _synthetic_spans(spark, sf_dir).withColumn("place", F.col("ord")).withColumn("value", F.col("type")).withColumn("ord", F.lit(0))
+    return relations.neighbours(rows).select("a_place", "b_place", "id")
+
+
+# --- relations ---------------------------------------------------------------------
+
+
+@query()
+def relations_all(spark, sf_dir):
+    rows = unique_docs(spark, sf_dir)
+    return relations.relations(rows, entities.merged(rows))
+
+
+@query(f"{_TXT}, p AS (SELECT id, body, instr(body, 'CVE-') AS spot FROM txt WHERE instr(body, 'CVE-') > 0), e AS (SELECT id, body, spot - 1 AS a, spot + 7 AS b FROM p), l AS (SELECT *, a - length(regexp_extract(substr(body, 1, a), '[^.!?\\n]*$')) AS low, b + length(regexp_extract(substr(body, b + 1), '^[^.!?\\n]*[.!?\\n]?')) AS high FROM e) SELECT id, trim(substr(body, low + 1, high - low)) AS sentence FROM l".replace("\\n", "\n"))
+def sentence_span(spark, sf_dir):
+    rows = unique_docs(spark, sf_dir).select("id", F.coalesce("content", F.lit("")).alias("body")).withColumn("at", F.instr("body", "CVE-")).where("at > 0")
+    return rows.select("id", relations.between(F.col("body"), F.col("at") - 1, F.col("at") + 7).alias("sentence"))
+
+
+# --- risk --------------------------------------------------------------------------
+
+_SIGNALS = ["exploit_available", "actively_exploited", "severity_critical", "ransomware_mentioned", "high_cvss", "cvss_score", "ioc_density", "cve_count", "hash_count", "vulnerability_in_labels"]
+
+
+@query(f"{_RISK} SELECT id, {', '.join(_SIGNALS)} FROM risk")
+def risk_signals(spark, sf_dir):
+    return enriched(spark, sf_dir).select("id", *[F.col(c).cast("long") if c.endswith("_count") else c for c in _SIGNALS])
+
+
+@query(f"{_RISK} SELECT id, risk_score, risk_tier FROM risk")
+def risk_scores(spark, sf_dir):
+    return enriched(spark, sf_dir).select("id", "risk_score", "risk_tier")
+
+
+@query(f"""{_RISK}, f AS (SELECT id, concat_ws('|', CASE WHEN exploit_available THEN 'Exploit code or PoC available' END, CASE WHEN actively_exploited THEN 'Actively exploited in the wild' END,
+CASE WHEN severity_critical THEN CASE WHEN cvss_score IS NOT NULL THEN concat('Critical severity (CVSS ', CAST(cvss_score AS STRING), ')') ELSE 'Critical severity mentioned' END END,
+CASE WHEN ransomware_mentioned THEN 'Ransomware activity mentioned' END, CASE WHEN high_cvss AND cvss_score < 9 THEN concat('High CVSS score (', CAST(cvss_score AS STRING), ')') END,
+CASE WHEN ioc_density IN ('medium', 'high') THEN concat('Moderate to high IOC density (', ioc_density, ')') END, CASE WHEN cve_count > 0 THEN concat(CAST(cve_count AS STRING), ' CVE(s) referenced') END,
+CASE WHEN hash_count > 0 THEN concat(CAST(hash_count AS STRING), ' file hash(es) present') END) AS factors FROM risk) SELECT id, CASE WHEN factors = '' THEN 'No high-impact signals detected' ELSE factors END AS factors FROM f""")
+def risk_factors(spark, sf_dir):
+    return enriched(spark, sf_dir).select("id", F.array_join("contributing_factors", "|").alias("factors"))
+
+
+@query(f"{_RISK}, t(place, risk_tier) AS (VALUES (0, 'critical'), (1, 'high'), (2, 'medium'), (3, 'low')) SELECT t.place, t.risk_tier, count(r.id) AS documents FROM t LEFT JOIN risk r USING (risk_tier) GROUP BY 1, 2")
+def risk_tiers(spark, sf_dir):
+    return corpus.tier_counts(enriched(spark, sf_dir))
+
+
+# --- corpus ------------------------------------------------------------------------
+
+
+@query(f"{_TXT} SELECT ord, id, title, source FROM uniq")
+def dedup_keep_first(spark, sf_dir):
+    return unique_docs(spark, sf_dir).select("ord", "id", "title", "source")
+
+
+@query(f"WITH d AS ({DOCS_SQL}), b AS (SELECT *, CASE WHEN ord % 2 = 0 THEN 0 ELSE 1 END AS part FROM d WHERE id IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY part, ord) AS nth FROM b) SELECT ord, id FROM r WHERE nth = 1 ORDER BY part, ord LIMIT 500")
+def union_dedup_trim(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    return corpus.union_trim(d.where("ord % 2 = 0"), d.where("ord % 2 = 1"), 500).select("ord", "id")
+
+
+@query(f"{_TXT} SELECT id, title, nullif(collected_at, '') AS collected_at, published_at, source_category_hint FROM uniq")
+def provenance(spark, sf_dir):
+    return corpus.provenance(unique_docs(spark, sf_dir)).select("id", "title", "collected_at", "published_at", "source_category_hint")
+
+
+@query(f"{_RISK}, n AS (SELECT id, (CAST(conf_vulnerability IS NOT NULL AS INT) + CAST(conf_exploit IS NOT NULL AS INT) + CAST(conf_phishing IS NOT NULL AS INT) + CAST(conf_ransomware IS NOT NULL AS INT) + CAST(conf_threat_actor IS NOT NULL AS INT) + CAST(conf_ioc IS NOT NULL AS INT)) AS n_labels, net + hash_count + cve_count AS n_entities FROM risk) SELECT count(*) AS documents, count(*) FILTER (n_labels > 0) AS labeled, count(*) FILTER (n_labels = 0) AS unlabeled, count(*) FILTER (n_labels > 1) AS multi_label, CAST(sum(n_entities) AS BIGINT) AS entities, CAST(0 AS BIGINT) AS relations, round(sum(n_entities) / count(*), 1) AS avg_entities FROM n")
+def stats_totals(spark, sf_dir):
+    rows = enriched(spark, sf_dir)
+    n = sum((F.col(f"conf_{c}").isNotNull().cast("int") for c in lex.CATEGORIES), F.lit(0))
+    return corpus.totals(rows.select(n.alias("n_labels"), (F.col("n_cves") + F.col("n_ips") + F.col("n_domains") + F.col("n_hashes")).alias("n_entities"), F.lit(0).alias("n_relations")))
+
+
+@query(f"{_TXT} SELECT source, count(*) AS n, min(ord) AS first_ord FROM uniq GROUP BY source")
+def docs_by_source(spark, sf_dir):
+    return corpus.counts_by(unique_docs(spark, sf_dir), "source")
+
+
+@query(f"{_RISK} SELECT risk_tier, count(*) AS n, round(100e0 * count(*) / (SELECT count(*) FROM risk), 1) AS percent FROM risk GROUP BY risk_tier")
+def tier_shares(spark, sf_dir):
+    return corpus.shares(enriched(spark, sf_dir), "risk_tier")
+
+
+_DAYS = r"days AS (SELECT *, CASE WHEN regexp_matches(collected_at, '^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$') THEN substr(collected_at, 1, 10) ELSE published_at END AS day FROM uniq), inside AS (SELECT * FROM days WHERE day IS NOT NULL AND CAST(day AS DATE) >= (SELECT CAST(max(day) AS DATE) FROM days) - INTERVAL 90 DAY)"
+
+
+@query(f"{_TXT}, {_DAYS} SELECT day, count(*) AS documents FROM inside GROUP BY day")
+def trend_day(spark, sf_dir):
+    return corpus.per_day(unique_docs(spark, sf_dir))
+
+
+@query(f"{_TXT}, {_DAYS}, top AS (SELECT source FROM (SELECT source, count(*) AS n, min(ord) AS o FROM uniq GROUP BY source) ORDER BY n DESC, o LIMIT 7), grid AS (SELECT DISTINCT day, top.source FROM inside, top) SELECT g.day, g.source, count(i.ord) AS documents FROM grid g LEFT JOIN inside i ON i.day = g.day AND i.source = g.source GROUP BY 1, 2")
+def trend_source(spark, sf_dir):
+    return corpus.day_source(unique_docs(spark, sf_dir))
+
+
+@query(_RISK.replace("WITH uniq", "WITH uniq", 1) + ", " + _DAYS.replace("FROM uniq", "FROM risk") + " SELECT day, " + ", ".join(f"count(*) FILTER (risk_tier = '{t}') AS {t}" for t in risk.TIERS) + " FROM inside GROUP BY day")
+def trend_risk(spark, sf_dir):
+    return corpus.day_tier(enriched(spark, sf_dir))
+
+
+_ROLL = "SELECT v.type, v.value AS name, count(*) AS mentions, count(DISTINCT v.id) AS documents, string_agg(DISTINCT r.source, ',' ORDER BY r.source) AS sources, " + ", ".join(f"count(*) FILTER (r.risk_tier = '{t}') AS n_{t}" for t in risk.TIERS) + " FROM vals v JOIN risk r USING (id) GROUP BY 1, 2"
+_RISK_VALUES = _RISK + ", vals AS (" + _VALUES.split(", vals AS (", 1)[1]
+
+
+def _rolled(spark, sf_dir):
+    rows = enriched(spark, sf_dir)
+    return corpus.rollup(entities.long_values(unique_docs(spark, sf_dir)).withColumn("canonical_value", F.lit(None).cast("string")), rows)
+
+
+@query(f"{_RISK_VALUES} {_ROLL}")
+def entity_rollup(spark, sf_dir):
+    return _rolled(spark, sf_dir)
+
+
+@query(f"{_RISK_VALUES}, roll AS ({_ROLL}) SELECT * FROM roll WHERE contains(name, 'cve') ORDER BY mentions DESC, type, name LIMIT 20 OFFSET 20")
+def entity_page(spark, sf_dir):
+    return corpus.entity_page(_rolled(spark, sf_dir), search="CVE", page=2, size=20)
+
+
+@query(f"{_RISK} SELECT ord, id, title, risk_tier FROM risk WHERE contains(lower(coalesce(title, '')), 'ransom') AND conf_ransomware IS NOT NULL AND risk_tier = 'critical' ORDER BY ord LIMIT 50 OFFSET 0")
+def threat_search(spark, sf_dir):
+    return corpus.search(labeling.label_map(enriched(spark, sf_dir)), text="Ransom", label="ransomware", tier="critical").select("ord", "id", "title", "risk_tier")
+
+
+_t = lambda n: f"substr(coalesce(nullif(title, ''), id), 1, {n})"
+_created = "coalesce(nullif(collected_at, ''), nullif(published_at, ''), '')"
+_ALERTS = f"""{_RISK}, al AS (
+SELECT id, title, {_created} AS created_at, 'risk_critical' AS rule_id, 'critical' AS severity, concat('Scored as critical risk: ', {_t(120)}) AS summary FROM risk WHERE risk_tier = 'critical'
+UNION ALL SELECT id, title, {_created}, 'ransomware_high_confidence', 'high', concat('Ransomware confidence ', CAST(CAST(round(conf_ransomware * 100) AS INT) AS STRING), '%: ', {_t(100)}) FROM risk WHERE conf_ransomware >= 0.5
+UNION ALL SELECT id, title, {_created}, 'exploit_and_critical', 'critical', concat('Exploit-labeled in critical tier: ', {_t(100)}) FROM risk WHERE conf_exploit >= 0.4 AND risk_tier = 'critical'
+UNION ALL SELECT id, title, {_created}, 'high_risk_score', 'high', concat('Risk score ', CAST(CAST(round(risk_score * 100) AS INT) AS STRING), '%: ', {_t(100)}) FROM risk WHERE risk_score >= 0.85 AND risk_tier <> 'critical')"""
+
+
+@query(f"{_ALERTS} SELECT concat(rule_id, '::', id) AS alert_id, rule_id, severity, summary, created_at FROM al")
+def alerts_all(spark, sf_dir):
+    return alerts.alerts(enriched(spark, sf_dir)).select("alert_id", "rule_id", "severity", "summary", "created_at")
+
+
+@query(f"{_ALERTS} SELECT concat(rule_id, '::', id) AS alert_id, severity, created_at FROM al WHERE rule_id <> 'risk_critical' ORDER BY CASE severity WHEN 'critical' THEN 0 ELSE 1 END, created_at DESC, alert_id LIMIT 100")
+def alerts_active(spark, sf_dir):
+    found = alerts.alerts(enriched(spark, sf_dir))
+    return alerts.active(found, found.where("rule_id = 'risk_critical'").select("alert_id"), n=100).select("alert_id", "severity", "created_at")
+
+
+def _graph(spark, sf_dir):
+    rows = enriched(spark, sf_dir)
+    found = entities.merged(unique_docs(spark, sf_dir))
+    return graph.edges(rows, found, relations.relations(unique_docs(spark, sf_dir), found))
+
+
+@query()
+def graph_edges(spark, sf_dir):
+    return graph.capped(_graph(spark, sf_dir))[1]
+
+
+@query()
+def graph_nodes(spark, sf_dir):
+    return graph.circle(graph.capped(_graph(spark, sf_dir))[0])
+
+
+# --- evaluation and sampling ---------------------------------------------------------
+
+_EVAL = "WITH g AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN quality = 1 THEN 'good' WHEN toxic = 1 THEN 'bad' END AS label FROM labels), p AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN n_chars >= 200 THEN 'good' WHEN n_chars > 60 THEN 'bad' END AS label FROM documents WHERE doc_id % 10 <> 3), both_ids AS (SELECT DISTINCT id FROM g INTERSECT SELECT DISTINCT id FROM p), x AS (SELECT coalesce(g.label, p.label) AS label, g.label AS gl, p.label AS pl, coalesce(g.id, p.id) IN (SELECT id FROM both_ids) AS hit FROM (SELECT DISTINCT * FROM g WHERE label IS NOT NULL) g FULL JOIN (SELECT DISTINCT * FROM p WHERE label IS NOT NULL) p ON g.id = p.id AND g.label = p.label), c AS (SELECT label, count(*) FILTER (hit AND gl IS NOT NULL AND pl IS NOT NULL) AS tp, count(*) FILTER (hit AND gl IS NULL) AS fp, count(*) FILTER (hit AND pl IS NULL) AS fn FROM x GROUP BY label), m AS (SELECT *, coalesce(round_even(tp / nullif(tp + fp, 0)::DOUBLE, 2), 0) AS precision, coalesce(round_even(tp / nullif(tp + fn, 0)::DOUBLE, 2), 0) AS recall, coalesce(round_even(2.0e0 * tp / nullif(2 * tp + fp + fn, 0), 2), 0) AS f1 FROM c)"
+
+
+def _gold(spark, sf_dir):
+    return _read(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, "good").when(F.col("toxic") == 1, "bad").alias("label"))
+
+
+def _predicted(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").where("doc_id % 10 <> 3").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("n_chars") >= 200, "good").when(F.col("n_chars") > 60, "bad").alias("label"))
+
+
+@query(f"{_EVAL} SELECT label, tp, fp, fn, precision, recall, f1, tp + fn AS support FROM m")
+def eval_per_label(spark, sf_dir):
+    return evaluation.per_label(_gold(spark, sf_dir), _predicted(spark, sf_dir))
+
+
+@query(f"{_EVAL} SELECT round_even(avg(precision), 2) AS macro_precision, round_even(avg(recall), 2) AS macro_recall, round_even(avg(f1), 2) AS macro_f1, round_even(sum(tp) / sum(tp + fp)::DOUBLE, 2) AS micro_precision, round_even(sum(tp) / sum(tp + fn)::DOUBLE, 2) AS micro_recall, round_even(2.0e0 * sum(tp) / sum(2 * tp + fp + fn), 2) AS micro_f1, round_even(avg(f1), 2) >= 0.7 AS passed FROM m")
+def eval_overall(spark, sf_dir):
+    return evaluation.overall(evaluation.per_label(_gold(spark, sf_dir), _predicted(spark, sf_dir)))
+
+
+@query("SELECT DISTINCT CAST(doc_id AS STRING) AS id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 3)")
+def eval_unmatched(spark, sf_dir):
+    return evaluation.unmatched(_gold(spark, sf_dir), _predicted(spark, sf_dir))
+
+
+_PT = "concat(coalesce(title, ''), '\n', coalesce(content, ''))"
+_m = lambda words, each: "(" + " + ".join(f"CAST(regexp_matches(t, '{pat.any_of([w])}') AS INT)" for w in words) + f") * {each}e0"
+_n = lambda p: f"len(regexp_extract_all(t, '{p}'))"
+_w = lambda cond, x: f"CASE WHEN {cond} THEN {x}e0 ELSE 0e0 END"
+_PRE = f"{_TXT}, pt AS (SELECT *, {_PT} AS t, coalesce(source_category_hint, '') AS hint FROM uniq), pre AS (SELECT *, " + ", ".join(
+    f"round(least({e}, 1e0), 2) AS pre_{k}"
+    for k, e in {
+        "vulnerability": f"{_w(f"regexp_matches(t, '{pat.CVE}')", 0.4)} + least({_m(lex.ADVISORY, 0.1)}, 0.5e0)",
+        "exploit": f"{_m(lex.EXPLOIT, 0.15)} + {_w("regexp_matches(t, '(?i)github\\.com') AND regexp_matches(t, '(?i)exploit|poc')", 0.3)}",
+        "phishing": f"{_w("hint = 'phishing'", 0.3)} + {_m(lex.PHISHING, 0.15)}",
+        "ransomware": f"{_m(lex.RANSOM, 0.15)} + {_m(lex.FAMILIES, 0.2)}",
+        "threat_actor": f"{_w("regexp_matches(t, '(?i)APT\\d+')", 0.4)} + {_m(lex.ACTOR_WORDS, 0.1)} + {_m(lex.ACTORS, 0.2)}",
+        "ioc": f"{_w(f'{_n(pat.IPV4_WORD)} > 3', 0.4)} + {_w(f'{_n(pat.MD5)} + {_n(pat.SHA1)} + {_n(pat.SHA256)} > 2', 0.3)} + {_w(f'{_n(pat.DOMAIN_RE2)} > 3', 0.2)} + {_m(lex.IOC_WORDS, 0.1)}",
+    }.items()
+) + " FROM pt)"
+
+
+@query(f"{_PRE} SELECT id, {', '.join(f'pre_{c}' for c in lex.CATEGORIES)} FROM pre")
+def prelabel_scores(spark, sf_dir):
+    return sampling.prelabel_scores(unique_docs(spark, sf_dir)).select("id", *[f"pre_{c}" for c in lex.CATEGORIES])
+
+
+_kept = " || ".join(f"CASE WHEN pre_{c} >= 0.3 THEN [{{'k': '{c}', 'v': pre_{c}}}] ELSE [] END" for c in lex.CATEGORIES)
+_PRELABELS = f"{_PRE}, kp AS (SELECT *, {_kept} AS kept FROM pre), pl AS (SELECT ord, id, source_category_hint, array_to_string(list_transform(kept, lambda x: x.k), '|') AS labels, round(coalesce(list_sum(list_transform(kept, lambda x: x.v)), 0) / greatest(len(kept), 1), 4) AS confidence, len(kept) = 0 OR len(kept) > 3 OR coalesce(list_max(list_transform(kept, lambda x: x.v)), 0) < 0.5 AS needs_review FROM kp)"
+
+
+@query(f"{_PRELABELS} SELECT * FROM pl")
+def prelabels(spark, sf_dir):
+    return sampling.prelabels(unique_docs(spark, sf_dir))
+
+
+@query(f"{_PRELABELS}, st AS (SELECT *, coalesce(source_category_hint, 'unknown') AS stratum FROM pl), pp AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY ord) - 1 AS pos, count(*) OVER (PARTITION BY stratum) AS size, (SELECT count(DISTINCT stratum) FROM st) AS k FROM st), tk AS (SELECT *, least(greatest(60 // k, 1), size) AS take FROM pp), sp AS (SELECT *, greatest(size // take, 1) AS step FROM tk), tu AS (SELECT *, CASE WHEN pos % step = 0 AND pos // step < take THEN pos // step ELSE pos + 1000000000 END AS turn FROM sp) SELECT ord, id, source_category_hint, labels, confidence, needs_review FROM tu ORDER BY turn, stratum, pos LIMIT 60")
+def stratified_sample(spark, sf_dir):
+    return sampling.stratified(sampling.prelabels(unique_docs(spark, sf_dir)), 60)
+
+
+@query()
+def substring_labels(spark, sf_dir):
+    return sampling.substring_labels(unique_docs(spark, sf_dir))
+
+
+@query()
+def hash_sample(spark, sf_dir):
+    return sampling.hash_sample(unique_docs(spark, sf_dir), 200, 50).select("id", "title")
+
+
+# --- pages and documents -------------------------------------------------------------
+
+_URL = r"'^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
+_track = ", ".join(f"'{t}'" for t in sorted(lex.TRACKING))
+_NORMAL = f"""WITH u AS (SELECT page_id, url, lower(regexp_extract(url, {_URL}, 1)) AS scheme, lower(regexp_extract(url, {_URL}, 2)) AS host, rtrim(regexp_extract(url, {_URL}, 3), '/') AS path, regexp_extract(url, {_URL}, 4) AS q FROM pages),
+kv AS (SELECT page_id, split_part(p, '=', 1) AS k, url_decode(regexp_extract(p, '^[^=]*=(.*)$', 1)) AS v, i FROM (SELECT page_id, unnest(string_split(q, '&')) AS p, generate_subscripts(string_split(q, '&'), 1) AS i FROM u)),
+ks AS (SELECT page_id, k, string_agg(v, ',' ORDER BY i) AS v FROM kv WHERE v <> '' AND lower(k) NOT IN ({_track}) GROUP BY 1, 2), qs AS (SELECT page_id, string_agg(concat(k, '=', v), '&' ORDER BY k) AS q FROM ks GROUP BY 1),
+norm AS (SELECT u.page_id, u.url, concat(coalesce(nullif(scheme, ''), 'https'), '://', host, CASE WHEN path = '' THEN '/' ELSE path END, CASE WHEN qs.q IS NULL THEN '' ELSE concat('?', qs.q) END) AS normalized FROM u LEFT JOIN qs USING (page_id))"""
+
+
+@query(f"{_NORMAL} SELECT page_id, normalized, sha256(normalized)[1:8] AS hash8 FROM norm")
+def url_normalize(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", urls.normalize(F.col("url")).alias("normalized"), urls.hash8(F.col("url")).alias("hash8"))
+
+
+_many = "CASE page_id % 12 WHEN 0 THEN 'https://github.com/a/b/commit/1' WHEN 1 THEN 'https://www.youtube.com/v' WHEN 2 THEN 'https://nvd.nist.gov/vuln/detail/CVE-2024-1' WHEN 3 THEN 'http://lists.x.org/y' WHEN 4 THEN 'https://pastebin.com/z' WHEN 5 THEN 'https://x.com/patch/1' WHEN 6 THEN 'https://x.com/CVE-2024-2' WHEN 7 THEN 'https://ubuntu.com/a' WHEN 8 THEN 'https://github.com/advisories/GHSA-1' WHEN 9 THEN 'nothing' ELSE url END"
+
+
+def _in(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+_CLASS = f"""WITH m AS (SELECT page_id, html, {_many} AS link FROM pages), s AS (SELECT *, regexp_extract(link, {_URL}, 2) AS net, regexp_replace(split_part(lower(regexp_extract(link, {_URL}, 2)), ':', 1), '^www\\.', '') AS host, regexp_extract(link, {_URL}, 3) AS path FROM m),
+cl AS (SELECT *, CASE WHEN net = '' THEN 'unknown' WHEN host IN ({_in(lex.GITHUB_CODE)}) THEN 'code'
+WHEN host = 'github.com' THEN CASE WHEN contains(path, '/advisories/GHSA-') THEN 'github_advisory' WHEN contains(lower(path), '/commit/') THEN 'github_commit' WHEN contains(lower(path), '/issues/') OR contains(lower(path), '/pull/') THEN 'github_issue' ELSE 'github_repo' END
+WHEN host IN ({_in(lex.MEDIA_HOSTS)}) THEN 'media' WHEN host IN ({_in(lex.PASTE_HOSTS)}) THEN 'code' WHEN host IN ({_in(lex.LIST_HOSTS)}) OR starts_with(host, 'lists.') THEN 'mailing_list'
+WHEN regexp_matches(host, '\\.gov(\\.uk|\\.au)?$') OR host IN ({_in(lex.GOV_HOSTS)}) THEN 'government' WHEN host IN ({_in(lex.ADVISORY_HOSTS)}) THEN 'vendor_advisory'
+WHEN regexp_matches(lower(path), '{pat.PATCH_PATH}') THEN 'patch' WHEN regexp_matches(path, '{pat.ADVISORY_PATH}') THEN 'vendor_advisory' ELSE 'article' END AS class FROM s)"""
+
+
+def _links(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").withColumn("link", F.expr(_many))
+
+
+@query(f"{_CLASS} SELECT page_id, link, class FROM cl")
+def url_classify(spark, sf_dir):
+    return _links(spark, sf_dir).select("page_id", "link", urls.classify(F.col("link")).alias("class"))
+
+
+@query(f"{_CLASS} SELECT class, count(*) AS n FROM cl GROUP BY class")
+def url_class_counts(spark, sf_dir):
+    return _links(spark, sf_dir).groupBy(urls.classify(F.col("link")).alias("class")).agg(F.count("*").alias("n"))
+
+
+_TITLE = "trim(regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1))"
+
+
+@query(f"{_CLASS}, h AS (SELECT *, lower(concat(CASE WHEN page_id % 5 = 0 THEN 'Security bulletin ' ELSE '' END, {_TITLE})) AS t FROM cl) SELECT page_id, CASE WHEN class = 'article' AND ({' OR '.join(f"contains(t, '{h}')" for h in lex.HINTS)}) THEN 'vendor_advisory' ELSE class END AS class FROM h")
+def url_content_hint(spark, sf_dir):
+    title = F.concat(F.when(F.col("page_id") % 5 == 0, "Security bulletin ").otherwise(""), texts.html_title(F.col("html")))
+    return _links(spark, sf_dir).select("page_id", urls.with_hint(urls.classify(F.col("link")), title, F.lit(None).cast("string")).alias("class"))
+
+
+_TEXT = "regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+for _a, _b in texts.ENTITIES:
+    _TEXT = f"replace({_TEXT}, '{_a}', '{_b}')"
+_TEXT = f"trim(regexp_replace({_TEXT}, '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, {_TEXT} AS text FROM pages")
+def html_text(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", texts.html_to_text(F.col("html")).alias("text"))
+
+
+@query(f"SELECT page_id, {_TITLE} AS title FROM pages")
+def html_title(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", texts.html_title(F.col("html")).alias("title"))
+
+
+@query()
+def html_dom(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", texts.html_dom_text("html").alias("text"))
+
+
+_ends = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
+_SPACE = r"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), '[ \t]+', ' ', 'g'), '\n{3,}', chr(10) || chr(10), 'g')"
+_SPACE = _ends.format(_SPACE)
+_CLEAN = _SPACE
+for _rule in texts.BOILERPLATE:
+    _CLEAN = f"regexp_replace({_CLEAN}, '(?is){_rule}', '', 'g')"
+_CLEAN = _ends.format(_CLEAN)
+
+
+@query(f"SELECT doc_id, {_SPACE} AS text FROM documents")
+def text_normalize(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", texts.normalize_space(F.coalesce("text", F.lit(""))).alias("text"))
+
+
+@query(f"SELECT doc_id, {_CLEAN} AS text FROM documents")
+def text_clean(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", texts.clean(F.col("text")).alias("text"))
+
+
+_QUALITY = f"""WITH l AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '\\r\\n|[\\n\\r]'), lambda x: trim(x) <> '') AS lines FROM documents),
+q AS (SELECT doc_id, t, length(t) AS text_length, len(regexp_extract_all(t, '[.!?]+\\s')) + CASE WHEN regexp_replace(t, '\\s+$', '') = '' OR regexp_matches(regexp_replace(t, '\\s+$', ''), '[.!?]$') THEN 1 ELSE 0 END AS n,
+round(len(list_filter(lines, lambda x: regexp_matches(x, '{texts.CODE_LINE}'))) / greatest(len(lines), 1)::DOUBLE, 3) AS ratio FROM l)
+SELECT doc_id, CASE WHEN text_length < 50 THEN 'empty' WHEN ratio > 0.7 THEN 'code_only' WHEN n < 2 AND text_length < 200 THEN 'low' ELSE 'good' END AS label, text_length, CASE WHEN text_length = 0 THEN 0 ELSE n END AS sentence_count, regexp_matches(t, '{pat.CVE}') AS has_cve_mention, regexp_matches(t, '{pat.VERSION}') AS has_version_mention, CASE WHEN text_length = 0 THEN 0 ELSE ratio END AS code_ratio FROM q"""
+
+
+@query(_QUALITY)
+def text_quality(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", texts.quality(F.col("text")).alias("q")).select("doc_id", "q.*")
+
+
+@query()
+def text_language(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", "lang", texts.language(F.coalesce("text", F.lit(""))).alias("found"))
+
+
+@query()
+def text_chunks(spark, sf_dir):
+    return texts.chunks(_read(spark, sf_dir, "documents").select("doc_id", "text"), 4000)
+
+
+_SEEN = "SELECT event_id, concat('h', CAST(user_id AS STRING)) AS url_hash, ts AS fetched_at FROM events"
+
+
+@query(f"WITH s AS ({_SEEN}), n AS (SELECT * FROM s WHERE event_id % 4 = 0), h AS (SELECT * FROM s WHERE event_id % 40 = 1) SELECT event_id, url_hash FROM n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.url_hash = n.url_hash AND h.fetched_at >= n.fetched_at - INTERVAL 30 DAYS AND h.fetched_at <= n.fetched_at)")
+def ttl_dedupe(spark, sf_dir):
+    s = _read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("url_hash"), F.col("ts").alias("fetched_at"))
+    return urls.fresh_only(s.where("event_id % 4 = 0"), s.where("event_id % 40 = 1")).select("event_id", "url_hash")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return _QUERIES | feeds_sql.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return _SQL | feeds_sql.oracle_sql()
