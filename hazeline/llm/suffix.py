@@ -37,7 +37,7 @@ from .common import session_limits, slices, table, written
 
 WIDTH, GRAM = 50, 16
 SLICE = 2 << 20  #: bytes of text that a slice settles at once; positions in it fit 24 bits
-SHARD = 48 << 20  #: bytes of texts whose stretches or hashes a shard is to hold
+ASK_SHARD, SEND_SHARD = 48 << 20, 10 << 20  #: bytes of texts whose hashes, or stretches, a shard is to hold
 BATCH = 2 << 20  #: bytes of one suffix array, unless one minimiser needs more
 LAST = np.iinfo(np.int64).max
 
@@ -491,13 +491,14 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = docs.sparkSession
     session_limits(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(-(-total // SHARD), spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    ask_shards, send_shards = max(-(-total // ASK_SHARD), cores), max(-(-total // SEND_SHARD), cores)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = TaskContext.get().partitionId() * 64
         for pieces in _sliced(batches, width, None):
             part, turn = Slice(pieces, width), turn + 1
-            rows = ask_slice(part, shards)
+            rows = ask_slice(part, ask_shards)
             if part.covered:
                 own = _covered_blob(part.covered, turn)
                 rows.append({n: own[m] for n, m in zip(_ASK, ("shard", "docs", "marks", "doc", "start", "length"))})
@@ -517,7 +518,7 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         for pieces in _sliced(batches, width, "numbers"):
             part = Slice(pieces, width)
             wanted = [np.frombuffer(b"".join(p[4]), dtype=np.int64) if p[4] else None for p in part.pieces]
-            covered, blobs = send_slice(part, wanted, shards)
+            covered, blobs = send_slice(part, wanted, send_shards)
             covered += part.covered
             turn += 1
             yield _blobs(blobs + ([_covered_blob(covered, turn)] if covered else []), _SEND)
