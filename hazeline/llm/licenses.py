@@ -17,6 +17,8 @@ phrase, and neither join nor split words.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -133,3 +135,28 @@ def scan(docs: DataFrame, templates=None) -> DataFrame:
 
 def op3_licenses(spark, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def sql(templates=None, phrases: dict[str, str] | None = None, k: int = K, gap: int = GAP, cover: float = COVER) -> str:
+    """The scan in DuckDB's SQL: k-grams as texts, so nothing is hashed."""
+    split = [(i, label, [w for w in re.split(NOT_WORD, body.lower()) if w]) for i, (label, body) in enumerate(templates or TEMPLATES)]
+    grams_ = ", ".join(f"({i}, '{label}', {len(w) - k + 1}, {j}, '{' '.join(w[j : j + k])}')" for i, label, w in split for j in range(len(w) - k + 1))
+    places, labels = [], []
+    for phrase, label in (phrases or PHRASES).items():
+        stands = " AND ".join(f"w[i + {j + 1}] = '{part}'" for j, part in enumerate(phrase.split()))
+        places.append(f"list_filter(range(len(w)), lambda i: {stands})")
+        labels.append(f"CASE WHEN len({places[-1]}) > 0 THEN ['{label}'] ELSE [] END")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '{NOT_WORD}'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT rid, doc_id, len(w) AS n_words, {' || '.join(places)} AS places, {' || '.join(labels)} AS found FROM d),
+t(template, label, n_grams, j, gram) AS (VALUES {grams_}),
+g AS (SELECT rid, i, array_to_string(w[i + 1 : i + {k}], ' ') AS gram FROM (SELECT rid, w, unnest(range(len(w) - {k - 1})) AS i FROM d WHERE len(w) >= {k})),
+v AS (SELECT DISTINCT rid, template, label, n_grams, i - j AS diagonal, j FROM g JOIN t USING (gram)),
+s AS (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) AS step FROM (SELECT rid, template, label, n_grams, diagonal, list(j) AS js FROM v GROUP BY ALL)),
+m AS (SELECT *, sum(CASE WHEN step IS NULL OR step > {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY rid, template ORDER BY diagonal) AS island FROM s),
+c AS (SELECT rid, label, len(list_distinct(flatten(list(js)))) / n_grams::DOUBLE AS coverage FROM m GROUP BY rid, template, label, n_grams, island),
+x AS (SELECT rid, list(DISTINCT label) AS more, max(coverage) AS best FROM c WHERE coverage >= {cover} GROUP BY rid)
+SELECT doc_id, n_words, len(places) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word, array_to_string(list_sort(list_distinct(found)), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(found || coalesce(more, []))), ',') AS labels, CASE WHEN len(places) > 0 THEN 1.0e0 ELSE coalesce(best, 0) END AS score
+FROM b LEFT JOIN x USING (rid)
+"""

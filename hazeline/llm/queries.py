@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import licenses
 from .jpeg import op10_media
 from .licenses import op3_licenses
 from .mixing import op2_mixing
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_topk": OP5_SQL}
+    return {"op3_licenses": licenses.sql(), "op5_topk": OP5_SQL}
