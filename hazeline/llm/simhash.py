@@ -61,14 +61,21 @@ def majority(hashes: np.ndarray) -> int:
 
 
 def fingerprint(text: str | None, width: int = 4, n_words: int = 1) -> tuple[list[int], int]:
-    """Fingerprint words of one text, and its number of shingles. Word i uses seed 42 + i."""
+    """Fingerprint words of one text, and its number of shingles.
+
+    One word is built from XXH64 with seed 42; more words, two at a time, from 128-bit XXH3.
+    """
     joined, starts, ends = shingle_spans(words_of(text), width)
     if not starts:
         return [0] * n_words, 0
-    digest, out = xxhash.xxh64_intdigest, []
-    for seed in range(42, 42 + n_words):
-        hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts, ends)], dtype=np.uint64)
-        out.append(majority(hashes))
+    shingles, out = [joined[a:b] for a, b in zip(starts, ends)], []
+    if n_words == 1:
+        digest = xxhash.xxh64_digest
+        return [majority(np.frombuffer(b"".join([digest(s, 42) for s in shingles]), dtype=">u8").astype(np.uint64))], len(starts)
+    digest = xxhash.xxh3_128_digest
+    for seed in range(42, 42 + n_words // 2):
+        halves = np.frombuffer(b"".join([digest(s, seed) for s in shingles]), dtype=">u8").astype(np.uint64).reshape(-1, 2)
+        out += [majority(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]
     return out, len(starts)
 
 
