@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch. Texts can be long; a batch of ten thousand may not fit.
 BATCH_ROWS = 2000
+#: Whether Spark removes the shuffle files of a finished query at once.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def session_limits(spark: SparkSession) -> None:
@@ -30,10 +32,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, outlives executors."""
+    """``df`` as a Parquet table in the shared folder: cuts lineage, outlives executors.
+
+    The write's own shuffle files go as soon as it is done.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hazeline-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

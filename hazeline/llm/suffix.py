@@ -22,7 +22,6 @@ overlapping pieces that fit a slice.
 
 from __future__ import annotations
 
-import gc
 import zlib
 from collections.abc import Iterator
 
@@ -539,7 +538,6 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     asked = docs.select("doc_id", "text").mapInArrow(ask, _blob_sql(_ASK))
     told = written(asked.groupBy("shard").applyInArrow(tell, "ord long, mark long, start long, end long, numbers binary"), "numbers")
-    release(spark)
     wanted = told.where("numbers is not null").groupBy("ord", "mark").agg(F.collect_list("numbers").alias("numbers"))
     texts = _keyed(docs).join(wanted, ["ord", "mark"]).select("doc_id", "text", "numbers")
     sent = texts.mapInArrow(send, _blob_sql(_SEND))
@@ -547,12 +545,6 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return answers.unionByName(told.where("numbers is null").drop("numbers"))
 
 
-def release(spark) -> None:
-    """Let go of shuffle files that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
     return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.crc32(text).alias("mark"))
@@ -575,9 +567,7 @@ def cut_out(raw: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:
 
 def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, kept (binary), n_bytes, n_removed, n_spans of every document."""
-    spark = docs.sparkSession
     found = written(intervals(docs, width).groupBy("ord", "mark").agg(F.collect_set(F.struct("start", "end")).alias("found")), "intervals")
-    release(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
