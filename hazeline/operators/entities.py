@@ -32,7 +32,6 @@ NOISE = frozenset(
         "product products shall should some system that the their this tion tools triage versions victims was ware were what when where which will with would xml xml. account ing ity ble com net organizations"
     ).split()
 ) | {"associated malware", "cloud services", "government entities", "government sectors", "remote access tools"} | set(".,-;:()[]{}/\\|_=+*#@!?'\"") | {"]("}
-NER_TYPES = {"Malware": "malware", "ORG": "organization", "Organization": "organization", "System": "system", "Indicator": "indicator", "Vulnerability": "vulnerability"}
 
 _SIMPLE = [re.compile(p) for p in (pat.CVE_ENTITY, pat.IPV4, pat.IPV6, pat.DOMAIN, pat.URL, pat.MD5, pat.SHA1, pat.SHA256, pat.EMAIL)]
 _TYPES = ("cve_id", "ipv4", "ipv6", "domain", "url", "md5", "sha1", "sha256", "email", "cvss_score")
@@ -133,7 +132,7 @@ def long_values(docs: DataFrame) -> DataFrame:
     return docs.select("ord", "id", F.explode(pairs).alias("e")).select("ord", "id", "e.type", "e.value")
 
 
-# --- gazetteer NER -------------------------------------------------------------------
+# gazetteer NER
 
 _GAZETTEER = {
     "malware": sorted({*lex.MALWARE, *lex.FAMILIES}, key=lambda w: (-len(w), w)),

@@ -137,8 +137,8 @@ class _Dom(HTMLParser):
 
     def text(self) -> str:
         whole = self.main if self.main and self.main.strip() else self.best[1] or "".join(self.out)
-        lines = [re.sub(r"[ \t]+", " ", x).strip() for x in whole.split("\n")]
-        return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+        lines = [" ".join(re.split(r"[ \t]+", x)).strip() for x in whole.split("\n")]
+        return re.sub(r"\n\n\n+", "\n" * 2, "\n".join(lines)).strip()
 
 
 def dom_text(html: str | None) -> str:

@@ -36,7 +36,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# --- shared SQL --------------------------------------------------------------------
+# shared SQL
 
 _TXT = f"WITH uniq AS ({UNIQUE_SQL}), txt AS (SELECT *, coalesce(content, '') AS body, concat(coalesce(title, ''), ' ', coalesce(content, '')) AS combined FROM uniq)"
 _FIRED = f"{_TXT}, fired AS (SELECT *, {', '.join(f'({x.sql}) AS lf_{x.name}' for x in labeling.LABELERS)} FROM txt)"
@@ -82,7 +82,7 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.assess(entities.summarised(labeling.confidences(unique_docs(spark, sf_dir))))
 
 
-# --- labels ------------------------------------------------------------------------
+# labels
 
 
 @query(f"{_RISK} SELECT source, risk_tier, count(*) AS documents FROM risk GROUP BY ALL")
@@ -122,7 +122,7 @@ def label_map(spark, sf_dir):
     return rows.select("id", F.array_join(pairs, ",").alias("labels"))
 
 
-# --- entities ----------------------------------------------------------------------
+# entities
 
 
 @query(f"{_VALUES} SELECT ord, id, type, value FROM vals")
@@ -224,7 +224,7 @@ def near_pairs(spark, sf_dir):
     return relations.neighbours(rows).select("a_place", "b_place", "id")
 
 
-# --- relations ---------------------------------------------------------------------
+# relations
 
 
 @query()
@@ -239,7 +239,7 @@ def sentence_span(spark, sf_dir):
     return rows.select("id", relations.between(F.col("body"), F.col("at") - 1, F.col("at") + 7).alias("sentence"))
 
 
-# --- risk --------------------------------------------------------------------------
+# risk
 
 _SIGNALS = ["exploit_available", "actively_exploited", "severity_critical", "ransomware_mentioned", "high_cvss", "cvss_score", "ioc_density", "cve_count", "hash_count", "vulnerability_in_labels"]
 
@@ -268,7 +268,7 @@ def risk_tiers(spark, sf_dir):
     return corpus.tier_counts(enriched(spark, sf_dir))
 
 
-# --- corpus ------------------------------------------------------------------------
+# corpus
 
 
 @query(f"{_TXT} SELECT ord, id, title, source FROM uniq")
@@ -382,7 +382,7 @@ def graph_nodes(spark, sf_dir):
     return graph.circle(graph.capped(_graph(spark, sf_dir))[0])
 
 
-# --- evaluation and sampling ---------------------------------------------------------
+# evaluation and sampling
 
 _EVAL = "WITH g AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN quality = 1 THEN 'good' WHEN toxic = 1 THEN 'bad' END AS label FROM labels), p AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN n_chars >= 200 THEN 'good' WHEN n_chars > 60 THEN 'bad' END AS label FROM documents WHERE doc_id % 10 <> 3), both_ids AS (SELECT DISTINCT id FROM g INTERSECT SELECT DISTINCT id FROM p), x AS (SELECT coalesce(g.label, p.label) AS label, g.label AS gl, p.label AS pl, coalesce(g.id, p.id) IN (SELECT id FROM both_ids) AS hit FROM (SELECT DISTINCT * FROM g WHERE label IS NOT NULL) g FULL JOIN (SELECT DISTINCT * FROM p WHERE label IS NOT NULL) p ON g.id = p.id AND g.label = p.label), c AS (SELECT label, count(*) FILTER (hit AND gl IS NOT NULL AND pl IS NOT NULL) AS tp, count(*) FILTER (hit AND gl IS NULL) AS fp, count(*) FILTER (hit AND pl IS NULL) AS fn FROM x GROUP BY label), m AS (SELECT *, coalesce(round_even(tp / nullif(tp + fp, 0)::DOUBLE, 2), 0) AS precision, coalesce(round_even(tp / nullif(tp + fn, 0)::DOUBLE, 2), 0) AS recall, coalesce(round_even(2.0e0 * tp / nullif(2 * tp + fp + fn, 0), 2), 0) AS f1 FROM c)"
 
@@ -456,7 +456,7 @@ def hash_sample(spark, sf_dir):
     return sampling.hash_sample(unique_docs(spark, sf_dir), 200, 50).select("id", "title")
 
 
-# --- pages and documents -------------------------------------------------------------
+# pages and documents
 
 _URL = r"'^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$'"
 _track = ", ".join(f"'{t}'" for t in sorted(lex.TRACKING))
