@@ -244,6 +244,46 @@ def test_representatives_keep_one_of_each_group(spark, sf):
         assert any(j != k and len(shingles[k] & shingles[j]) >= 0.5 * len(shingles[k] | shingles[j]) for j in shingles)
 
 
+def test_representatives_are_those_of_true_shingle_similarity(spark, sf, monkeypatch):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 7))
+    texts = []
+    for n in (8, 10, 30, 30, 60):  # differing in the last word: J is 0.6, 0.71, 0.93 and so on
+        own = [word() for _ in range(n)]
+        texts += [" ".join(own), " ".join([*own[:-1], word()])]
+    for k in (20, 40, 50, 60, 80):  # texts of 400 shingles, k of them others
+        own = [word() for _ in range(404)]
+        texts += [" ".join(own), " ".join(own[: 404 - k] + [word() for _ in range(k)])]
+    line = [word() for _ in range(60)]
+    texts += [" ".join(line), " ".join(line + line[:5] * 40)]  # repeats count once
+    docs = cases.given(spark, sf)
+    docs = docs.unionByName(spark.createDataFrame([(50_000 + i, t, "en", "s", len(t)) for i, t in enumerate(texts)], docs.schema))
+    sets = defaultdict(list)
+    for r in docs.collect():
+        w = re.findall(r"[^\x20\x09-\x0D]+", lowered(r.text))
+        sets[frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()].append(r.doc_id)
+    keys = list(sets)
+    up = list(range(len(keys)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(keys):
+        for j in range(i):
+            if 5 * len(a & keys[j]) >= 4 * len(a | keys[j]):
+                up[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, k in enumerate(keys):
+        groups[find(i)] += [x for x in sets[k] if x is not None]
+    expected = {min(ids) for ids in groups.values() if ids}
+    assert {50_000, 50_001, 50_002, 50_003} <= expected and 50_005 not in expected
+    for most in (simhash.MEMBERS, 500):
+        monkeypatch.setattr(simhash.confirmed, "__defaults__", (most,))
+        assert {r.doc_id for r in simhash.representatives(docs).collect()} - {None} == expected
+
+
 def test_pipeline_stages(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     names = [n for n, _ in corpus_pipeline.STAGES]
