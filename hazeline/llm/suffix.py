@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -278,7 +279,7 @@ class Slice:
         self.doc = np.searchsorted(ends, self.first, side="right")
         self.base = np.searchsorted(self.doc, np.arange(len(kept)))
         self.ords = np.array([p[0] for p in kept], dtype=np.int64)
-        self.marks = np.array([p[1] for p in kept], dtype=np.uint32)
+        self.marks = np.array([p[1] for p in kept], dtype=np.int64)
         self.offsets = np.array([p[2] for p in kept], dtype=np.int64)
         self.start = self.first - self.begins[self.doc] + self.offsets[self.doc] if len(kept) else self.first
 
@@ -341,7 +342,7 @@ def send_slice(part: Slice, wanted: list[np.ndarray | None], shards: int) -> tup
 
 def _owners(group: dict, i: int) -> tuple[np.ndarray, np.ndarray]:
     doc = np.cumsum(_unpacked(group["doc"][i], np.int32))
-    return np.cumsum(_unpacked(group["docs"][i], np.int64))[doc], _unpacked(group["marks"][i], np.uint32).astype(np.int64)[doc]
+    return np.cumsum(_unpacked(group["docs"][i], np.int64))[doc], _unpacked(group["marks"][i], np.int64)[doc]
 
 
 def shared_numbers(group: dict) -> tuple[list[int], list[int], list[bytes]]:
@@ -457,16 +458,24 @@ def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length:
     return ords[seg], marks[seg], start[seg] + inside[a], start[seg] + inside[b] + width
 
 
+def _mark(doc_id: int | None, raw: bytes) -> int:
+    """What tells texts of one ord apart: rows without id may be many, so theirs is a 64-bit hash."""
+    if doc_id is not None:
+        return zlib.crc32(raw)
+    mark = xxhash.xxh64_intdigest(raw, 42)
+    return mark - (mark >> 63 << 64)
+
+
 def _pieces(doc_id: int | None, text: str | None, width: int) -> list[tuple]:
     raw = (text or "").encode("utf-8", "surrogatepass")
-    mark, step = zlib.crc32(raw), SLICE - width
+    mark, step = _mark(doc_id, raw), SLICE - width
     starts = range(0, len(raw) - width + 1, step) if len(raw) > SLICE else (0,)
     return [(LAST if doc_id is None else doc_id, mark, at, raw[at : at + step + width - 1] if len(raw) > SLICE else raw) for at in starts]
 
 
 def _covered_blob(covered: list[tuple[int, int, int, int]], turn: int) -> dict:
     c = np.array(covered, dtype=np.int64)
-    return {"shard": -1 - turn % 4096, "docs": _packed(c[:, 0]), "marks": _packed(c[:, 1].astype(np.uint32)), "doc": b"", "start": _packed(c[:, 2]), "length": _packed(c[:, 3]), "place": b"", "body": b""}
+    return {"shard": -1 - turn % 4096, "docs": _packed(c[:, 0]), "marks": _packed(c[:, 1]), "doc": b"", "start": _packed(c[:, 2]), "length": _packed(c[:, 3]), "place": b"", "body": b""}
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], width: int, extra: str | None) -> Iterator[list[tuple]]:
@@ -506,7 +515,7 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def tell(group: pa.Table) -> pa.Table:
         parts = {c: group.column(c).to_pylist() for c in _ASK}
         if parts["shard"][0] < 0:
-            cols = [np.concatenate([_unpacked(x, k).astype(np.int64) for x in parts[c]]) for c, k in (("docs", np.int64), ("marks", np.uint32), ("number", np.int64), ("hash", np.int64))]
+            cols = [np.concatenate([_unpacked(x, k).astype(np.int64) for x in parts[c]]) for c, k in (("docs", np.int64), ("marks", np.int64), ("number", np.int64), ("hash", np.int64))]
             return pa.table([pa.array(c, pa.int64()) for c in cols] + [pa.nulls(len(cols[0]), pa.binary())], names=["ord", "mark", "start", "end", "numbers"])
         o, m, n = shared_numbers(parts)
         none = pa.nulls(len(o), pa.int64())
@@ -528,7 +537,7 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             n = _unpacked(parts["length"][i], np.int64 if parts["shard"][i] < 0 else np.int16).astype(np.int64)
             start = _unpacked(parts["start"][i], np.int64)
             if parts["shard"][i] < 0:
-                rows.append((_unpacked(parts["docs"][i], np.int64), _unpacked(parts["marks"][i], np.uint32).astype(np.int64), start, n))
+                rows.append((_unpacked(parts["docs"][i], np.int64), _unpacked(parts["marks"][i], np.int64), start, n))
             else:
                 rows.append((*_owners(parts, i), start, n, _unpacked(parts["place"][i], np.uint8).astype(np.int64)))
         cols = [np.concatenate(c) for c in zip(*rows)]
@@ -547,7 +556,7 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.crc32(text).alias("mark"))
+    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.crc32(text)).alias("mark"))
 
 
 def cut_out(raw: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 import cases
@@ -198,6 +199,19 @@ def test_suffix_dedup_equals_brute_force(spark, sf, monkeypatch):
     assert suffix.dedup(cases.empty(spark)).count() == 0
 
 
+def test_suffix_texts_without_id_and_of_one_crc_stay_apart(spark):
+    passage = "".join(chr(97 + i * i * 7 % 26) + str(i) for i in range(60))
+    other = "nothing of this text stands anywhere else, it is only as long as the passage before it, so that a cut shows "
+    tail = [hashlib.md5(str(i).encode()).hexdigest() for i in range(200_000)]
+    tails = {zlib.crc32(f"{passage} {x}".encode()): x for x in tail}
+    i, j = next((tails[c], x) for x in tail if (c := zlib.crc32(f"{other} {x}".encode())) in tails)
+    rows = [(1, passage), (None, f"{passage} {i}"), (None, f"{other} {j}"), (None, None), (None, "")]
+    got = suffix.dedup(spark.createDataFrame(rows, "doc_id long, text string")).withColumn("hash", F.sha2("kept", 256))
+    want = brute_cut(rows)
+    got = [(10**18 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.hash) for r in got.collect()]
+    assert sorted(got) == sorted((10**18 if r[0] is None else r[0], *r[1:]) for r in want)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_suffix_array_sorts(seed):
     rng = np.random.default_rng(seed)
