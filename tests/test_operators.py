@@ -291,3 +291,26 @@ def test_entry_points(spark):
 
     assert entry.entry(spark).columns == ["source", "risk_tier", "documents"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_substring_labels_have_all_signals(spark):
+    from hazeline.operators import sampling
+
+    ips = " ".join(f"10.0.0.{i}" for i in range(10))
+    cases = [  # content, source, hint; primary label, labels, confidence: by hand from label_document
+        ("see CVE-2024-12345", "", "", "vulnerability", "vulnerability", 0.35),
+        ("APT99", "", "", "threat_actor", "threat_actor", 0.5),
+        ("lockbit, akira", "", "", "ransomware", "ransomware", 0.4),
+        ("turla and sandworm", "", "", "threat_actor", "threat_actor", 0.4),
+        (ips, "", "", "ioc", "ioc", 0.4),
+        (" ".join(c * 32 for c in "abc"), "", "", "ioc", "ioc", 0.3),
+        ("exploit-db", "", "", "exploit", "exploit", 0.37),
+        ("nothing", "otx", "", "ioc", "ioc", 0.3),
+        ("nothing", "cisa_kev", "vulnerability", "vulnerability", "vulnerability", 0.2),
+        ("nothing", "phishtank", "phishing", "phishing", "phishing", 0.6),
+        ("lockbit, akira; turla, sandworm", "", "", "ransomware", "ransomware|threat_actor", 0.4),
+        (None, None, None, "unknown", "unknown", 0.0),
+    ]
+    docs = spark.createDataFrame([(i, str(i), "", *c[:3]) for i, c in enumerate(cases)], "ord int, id string, title string, content string, source string, source_category_hint string")
+    got = [(r.primary_label, r.labels, r.confidence) for r in sampling.substring_labels(docs).orderBy("ord").collect()]
+    assert got == [c[3:] for c in cases]
