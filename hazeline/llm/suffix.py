@@ -10,7 +10,7 @@ meet. Before each step a slice of the input settles what it can: of equal texts,
 equal stretches, only that of the smallest id goes out; the others are covered already.
 
 A shard keeps each distinct stretch once and builds suffix arrays over them: suffixes are classified, the leftmost smaller ones are
-sorted by induction and named, equal names are told apart recursively, and the array is
+sorted by induction and named, equal names are told apart by prefix doubling, and the array is
 induced from them in linear time, bucket by bucket in numpy. Permuted common prefixes
 then give the runs of equal strings, and each run its smallest document.
 
@@ -123,7 +123,7 @@ def _names(t: np.ndarray, order: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
-    """The order of the suffixes of a string of names, by naming pairs of names recursively, ``depth`` names deep."""
+    """The order of the suffixes of a string of names, by prefix doubling, ``depth`` names deep."""
     n, h = len(names), 1
     rank = names.astype(np.int64)
     while True:
