@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -23,18 +24,27 @@ def session_limits(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; one of our own only where none is named."""
+    """The folder that all executors share; one of our own only in local mode, where none is named."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="hazeline-")
         spark.sparkContext.setCheckpointDir(named)
+        _files(spark, named, lambda fs, at: fs.deleteOnExit(at))
     return named.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def _files(spark: SparkSession, path: str, act) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    act(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at)
+
+
+def written(df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, outlives executors.
 
-    The write's own shuffle files go as soon as it is done.
+    The write's own shuffle files go as soon as it is done, and the table itself when the
+    driver's JVM ends. ``instead_of`` is an earlier table that nothing reads any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hazeline-{name}-{uuid.uuid4().hex}"
@@ -44,7 +54,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    _files(spark, path, lambda fs, at: fs.deleteOnExit(at))
+    if instead_of is not None:
+        _files(spark, instead_of._hazeline_path, lambda fs, at: fs.delete(at, True))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._hazeline_path = path
+    return out
+
+
+def free(columns: list[str], name: str) -> str:
+    """``name``, or the first of name_1, name_2 .. that no column has; case does not count."""
+    taken, out, n = {c.lower() for c in columns}, name, 0
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}_{n}"
+    return out
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -65,9 +89,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def key_columns(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_noid`` and ``_id``: a total, null-free document identity.
+def key_columns(df: DataFrame, text: str = "text") -> tuple[DataFrame, str, str]:
+    """``df`` with two columns more, and their names: a total, null-free document identity.
 
     Documents without an id stand behind all others, under a hash of their text.
     """
-    return df.withColumns({"_noid": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.xxhash64(text))})
+    last, key = free(df.columns, "_noid"), free(df.columns, "_id")
+    return df.withColumns({last: F.col("doc_id").isNull(), key: F.coalesce("doc_id", F.xxhash64(text))}), last, key

@@ -10,7 +10,8 @@ blocks make the thumbnail. Segments between restart markers are decoded in step
 each other, one numpy operation for all of them.
 
 Null texts count as empty (64 zero bytes). Repeated rows, null ids and extra columns
-have no influence. Payloads beyond one image go into several images, one after another.
+have no influence. Payloads beyond one image go into several images, one after another, so
+texts may have any length. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -415,9 +416,11 @@ def thumbnails(df: DataFrame, column: str = "media") -> DataFrame:
     """``df`` with width, height, thumbnail (bytes, row by row) and feature of the JPEG in ``column``.
 
     Width and height are the first image's; the thumbnails of several images follow
-    each other. All four are null where the value is no baseline JPEG.
+    each other. All four are null where the value is no baseline JPEG. Columns of ``df``
+    that have one of the four names give way.
     """
     session_limits(df.sparkSession)
+    df = df.drop(*(c for c in df.columns if c.lower() in ("width", "height", "thumbnail", "feature")))
     keep = df.columns
     added = {"width": "int", "height": "int", "thumbnail": "binary", "feature": "string"}
     schema = df.withColumns({c: F.lit(None).cast(k) for c, k in added.items()}).schema

@@ -9,7 +9,8 @@ template. Verification compares the words themselves, not their hashes.
 Beside the templates' labels there are base phrases, found wherever their words stand
 one after another. Null texts count as empty. Rows without doc_id, repeated rows and
 ties give one output row each: documents are told apart by id and text, and equal
-documents have equal results. Extra columns are not read.
+documents have equal results. Extra columns are not read. A text of any length is read in
+full, in time linear in its words; a table without rows gives one without rows.
 
 Lowering uses Unicode rules, which turn no other character into a letter of a base
 phrase, and neither join nor split words.
@@ -27,8 +28,17 @@ from .common import table, written
 K, GAP, COVER = 3, 2, 0.7
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: (label, notice). Short on purpose: the longest known notice needs a few hundred k-grams.
+_WARRANTY = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+#: (label, notice): sentences that stand for a license, and the whole body of the short ones.
 TEMPLATES = [
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _WARRANTY),
+    ("bsd-2-clause", _BSD + " " + _BSD_END),
+    ("bsd-3-clause", _BSD + " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD_END),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("mit", "Released under the MIT License"),
     ("mit", "Licensed under the MIT License"),
@@ -48,7 +58,7 @@ TEMPLATES = [
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 ]
-MOST_TEMPLATE_WORDS = 20_000  #: bound of what the join broadcasts
+MOST_TEMPLATE_WORDS = 20_000  #: templates of more words are joined by a shuffle, not broadcast
 
 
 def words(text: Column) -> Column:
@@ -56,20 +66,19 @@ def words(text: Column) -> Column:
 
 
 def grams(w: Column, k: int) -> Column:
-    """Hash of the k-gram at every word."""
+    """at, hash and words of the k-gram at every word."""
     at = F.sequence(F.lit(0), F.size(w) - k)
-    return F.when(F.size(w) >= k, F.transform(at, lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)]))).otherwise(F.array().cast("array<bigint>"))
+    each = F.transform(at, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(w, i + j) for j in range(k)]).alias("hash"), F.array(*[F.get(w, i + j) for j in range(k)]).alias("gram")))
+    return F.when(F.size(w) >= k, each).otherwise(F.array().cast("array<struct<at:int,hash:bigint,gram:array<string>>>"))
 
 
 def template_grams(spark, templates=None, k: int = K) -> DataFrame:
-    """template, label, n_grams, at, gram and hash of every k-gram of the templates."""
+    """template, label, n_grams, at, gram and hash of every k-gram of the templates; to be broadcast where they are few."""
     templates = TEMPLATES if templates is None else templates
-    if sum(len(t.split()) for _, t in templates) > MOST_TEMPLATE_WORDS:
-        raise ValueError(f"more than {MOST_TEMPLATE_WORDS} template words")
     rows = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(templates)], "template int, label string, body string")
     rows = rows.withColumn("w", words(F.col("body"))).withColumn("n_grams", F.size("w") - k + 1)
-    rows = rows.select("template", "label", "n_grams", "w", F.posexplode(grams(F.col("w"), k)).alias("at", "hash"))
-    return rows.select("template", "label", "n_grams", "at", F.slice("w", F.col("at") + 1, k).alias("gram"), "hash")
+    rows = rows.select("template", "label", "n_grams", F.explode(grams(F.col("w"), k)).alias("g")).select("template", "label", "n_grams", "g.*")
+    return F.broadcast(rows) if sum(len(t.split()) for _, t in templates) <= MOST_TEMPLATE_WORDS else rows
 
 
 def identity(df: DataFrame) -> DataFrame:
@@ -77,10 +86,13 @@ def identity(df: DataFrame) -> DataFrame:
 
 
 def votes(docs: DataFrame, templates=None, k: int = K) -> DataFrame:
-    """doc_id, _text, template, label, n_grams, diagonal, at, pos: all verified matches."""
-    known = F.broadcast(template_grams(docs.sparkSession, templates, k))
-    each = identity(docs).select("doc_id", "_text", "w", F.posexplode(grams(F.col("w"), k)).alias("pos", "hash"))
-    return each.join(known, "hash").where(F.slice("w", F.col("pos") + 1, k) == F.col("gram")).select("doc_id", "_text", "template", "label", "n_grams", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "pos")
+    """doc_id, _text, template, label, n_grams, diagonal, at, pos: all verified matches.
+
+    Only a k-gram's own words go along with it, so a text of n words makes n small rows.
+    """
+    known = template_grams(docs.sparkSession, templates, k)
+    each = identity(docs).select("doc_id", "_text", F.explode(grams(F.col("w"), k)).alias("g")).select("doc_id", "_text", F.col("g.at").alias("pos"), F.col("g.hash").alias("hash"), F.col("g.gram").alias("own"))
+    return each.join(known, "hash").where("own = gram").select("doc_id", "_text", "template", "label", "n_grams", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "pos")
 
 
 def spans(docs: DataFrame, templates=None, k: int = K, gap: int = GAP, cover: float = COVER) -> DataFrame:

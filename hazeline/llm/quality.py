@@ -5,19 +5,23 @@ heuristics vote on each, or abstain; where a labels table covers a document, its
 one more voter. All documents' votes are counted by pattern (a few thousand at most), and
 expectation-maximisation over the patterns estimates each voter's accuracy. The posterior
 labels of a bounded sample train one sparse logistic scorer a question, over hashed
-features: buckets of text statistics, words and word beginnings. The scorers decide on
-every document: it is kept if quality is at least and toxicity below one half.
+features: buckets of text statistics, words and word beginnings. All features that occur in
+three documents of the sample take part: training works on a set of them, then a distributed pass sums the gradient of
+every other one, and those at which a zero weight is not optimal join the set, until there
+are none. The scorers decide on every document: it is kept if quality is at least and
+toxicity below one half.
 
 Null texts count as empty: no votes, statistics of zero. Repeated rows are voted on and
 scored alike. Documents without id can't be labelled or sampled. If a document has several
 labels the worse one counts. Without any documents or labels the scorers rest on the
-heuristics alone. Columns beside doc_id and text are carried, not read.
+heuristics alone; without rows there are none out. Texts of any length are read in full. Patterns on
+which as many voters say yes as no start expectation-maximisation at one half. Columns beside
+doc_id and text are carried, not read; those named quality, toxic or keep give way.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +35,12 @@ from .common import session_limits, slices, table, written
 
 FEATURES = 1 << 18
 SAMPLE = 20_000  #: expected labelled documents that the scorers are trained on
-SCREENED = 2_000  #: features that training looks at, of those most unlike in either class
+SPARSITY = 5e-4  #: the L1 penalty, as a share of the documents
+WORKING = 4_000  #: features that join the working set at a time
+LEAST_SEEN = 3  #: documents of the sample that a feature must occur in to have a weight
+SLACK = 0.05  #: relative excess of a gradient over the penalty that counts as optimal
 STEM = (4, 5, 6)
+REMEMBERED = 300_000  #: words whose features a worker keeps
 
 DECORATED = re.compile(r"[*#$%&]{3}")
 PUNCTUATION = b".,;:!?()[]{}\"'*#$%&|<>-_/\\"
@@ -130,15 +138,20 @@ def agree(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[
     return p, right / np.maximum(1, voted)
 
 
-def train(rows: list[np.ndarray], target: np.ndarray, n: int, sparsity: float = 5e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+def class_weights(target: np.ndarray, above: float, below: float) -> np.ndarray:
+    """Weights of rows such that either class, of ``above`` and ``below`` rows, weighs one half."""
+    return np.where(target > 0.5, 0.5 / max(1.0, above), 0.5 / max(1.0, below))
+
+
+def train(rows: list[np.ndarray], target: np.ndarray, n: int, sparsity: float = SPARSITY, steps: int = 300, start: tuple[np.ndarray, float] | None = None) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic scorer on soft labels, by accelerated proximal gradient with an L1 penalty."""
-    w, bias = np.zeros(n), 0.0
+    w, bias = (np.zeros(n), 0.0) if start is None else start
     if not rows:
         return w, bias
     sizes = np.array([len(r) for r in rows])
     cols = np.concatenate(rows).astype(np.int64)
     starts, some = np.cumsum(sizes) - sizes, sizes > 0
-    weight = np.where(target > 0.5, 0.5 / max(1.0, (target > 0.5).sum()), 0.5 / max(1.0, (target <= 0.5).sum()))
+    weight = class_weights(target, (target > 0.5).sum(), (target <= 0.5).sum())
     # a bound of the curvature along each feature: rare ones may move far
     rate = 4.0 / np.maximum(1e-6, np.bincount(cols, weights=np.repeat(weight * (sizes + 1), sizes), minlength=n))
     rate_bias = 4.0 / float((weight * (sizes + 1)).sum())
@@ -152,18 +165,96 @@ def train(rows: list[np.ndarray], target: np.ndarray, n: int, sparsity: float =
         new = y - rate * grad
         new = np.sign(new) * np.maximum(np.abs(new) - rate * sparsity, 0)
         new_bias = y_bias - rate_bias * off.sum()
+        if ((new - w) * (y - new)).sum() + (new_bias - bias) * (y_bias - new_bias) > 0:
+            t = 1.0  # momentum leads uphill: begin anew
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, y_bias = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
         w, bias, t = new, new_bias, t_new
     return w, bias
 
 
+POINT = 2.0**50  #: gradients are summed as whole multiples of its inverse, in which order has no influence
+
+
+def gradients(sample: DataFrame, weights: np.ndarray, biases: np.ndarray, sizes: list[tuple[float, float]]) -> DataFrame:
+    """f, q, t: the gradient of both questions' loss by the weight of every feature that occurs in enough documents.
+
+    sizes: rows of the upper and the lower class of each question.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros((2, FEATURES)), np.zeros(FEATURES, dtype=np.int64)
+        for batch in batches:
+            column = batch.column("features")
+            flat, n = column.flatten().to_numpy().astype(np.int64), pc.list_value_length(column).to_numpy()
+            some, starts = n > 0, np.cumsum(n) - n
+            seen += np.bincount(flat, minlength=FEATURES)
+            for i, name in enumerate(("p_q_all", "p_t_all")):
+                target = batch.column(name).to_numpy()
+                z = np.full(len(n), biases[i])
+                if len(flat):
+                    z[some] += np.add.reduceat(weights[i][flat], starts[some])
+                off = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * class_weights(target, *sizes[i])
+                total[i] += np.bincount(flat, weights=np.repeat(off, n), minlength=FEATURES)
+        f = np.flatnonzero(seen)
+        whole = np.rint(total[:, f] * POINT).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(f, pa.int32()), pa.array(whole[0]), pa.array(whole[1]), pa.array(seen[f])], names=["f", "q", "t", "n"])
+
+    parts = sample.mapInArrow(run, "f int, q long, t long, n long")
+    return parts.groupBy("f").agg(*[(F.sum(c) / POINT).alias(c) for c in ("q", "t")], F.sum("n").alias("n")).where(F.col("n") >= LEAST_SEEN)
+
+
+def fit(sample: DataFrame, sparsity: float = SPARSITY, working: int = WORKING) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (2, FEATURES) and biases of both scorers over all features of ``sample`` (features, p_q_all, p_t_all).
+
+    A working set grows until no feature outside it has a gradient beyond the penalty: the
+    optimum over the set is then that over all features.
+    """
+    weights, biases = np.zeros((2, FEATURES)), np.zeros(2)
+    counts = sample.agg(F.count("*"), F.count_if(F.col("p_q_all") > 0.5), F.count_if(F.col("p_t_all") > 0.5)).first()
+    if not counts[0]:
+        return weights, biases
+    sizes = [(counts[i], counts[0] - counts[i]) for i in (1, 2)]
+    sets = [np.empty(0, dtype=np.int64)] * 2
+    while True:
+        grown = []
+        slopes = gradients(sample, weights, biases, sizes)
+        beyond = slopes.where((F.abs("q") > sparsity * (1 + SLACK)) | (F.abs("t") > sparsity * (1 + SLACK))).toPandas()
+        for i, c in enumerate(("q", "t")):
+            own = beyond[(beyond[c].abs() > sparsity * (1 + SLACK)) & ~beyond["f"].isin(sets[i])]
+            best = own["f"].to_numpy()[np.lexsort((own["f"], -own[c].abs()))[:working]].astype(np.int64)
+            grown.append(len(best) > 0)
+            sets[i] = np.union1d(sets[i], best)
+        if not any(grown):
+            return weights, biases
+        names = np.union1d(*sets)
+        own = _only(sample, names).toArrow()
+        lists = [x.values.to_numpy() for x in own.column("features").combine_chunks()]
+        for i, column in enumerate(("p_q_all", "p_t_all")):
+            if grown[i]:
+                place = np.full(FEATURES, -1, dtype=np.int64)
+                place[sets[i]] = np.arange(len(sets[i]))
+                rows = [p[p >= 0] for p in (place[x] for x in lists)]
+                w, biases[i] = train(rows, own.column(column).to_numpy(), len(sets[i]), sparsity, start=(weights[i, sets[i]], biases[i]))
+                weights[i, sets[i]] = w
+
+
 class Scorer:
     """Weights of both questions over the hashed features."""
 
     def __init__(self, weights: np.ndarray, biases: np.ndarray):
         self.weights, self.biases = weights, biases  # (2, FEATURES), (2,)
         self.used = (weights != 0).any(axis=0)
+        self.known: dict[bytes, list[int]] = {}
+
+    def hits(self, w: bytes) -> list[int]:
+        """The features of a word that have weight; words recur, so they are remembered."""
+        found = self.known.get(w)
+        if found is None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            found = self.known[w] = [f for f in set(word_features(w)) if self.used[f]]
+        return found
 
     def batch(self, texts: list[str]) -> np.ndarray:
         """Probabilities (documents, 2) of good quality and of toxicity."""
@@ -179,7 +270,7 @@ class Scorer:
         coded = split.flatten().dictionary_encode()
         starts, hits = [0], []
         for w in coded.dictionary.cast(pa.large_binary()).to_pylist():
-            hits += [f for f in set(word_features(w)) if self.used[f]]
+            hits += self.hits(w)
             starts.append(len(hits))
         starts, hits = np.array(starts), np.array(hits, dtype=np.int64)
         codes = coded.indices.to_numpy()
@@ -239,29 +330,11 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
     sample = rows.where("features is not null")
     if n_gold:
         sample = sample.where("labelled")
-    tables = {}
     for column in ("q_all", "t_all"):
         known = spark.createDataFrame([(int(c), float(p)) for c, p in posterior[column].items()], f"{column} int, p_{column} double")
         sample = sample.join(known, column)  # as many rows as vote patterns
-        tables[column] = f"p_{column}"
     sample = written(sample.select("features", "p_q_all", "p_t_all"), "sample")
-    total = sample.agg(F.count("*"), F.sum("p_q_all"), F.sum("p_t_all")).first()
-    weights, biases = np.zeros((2, FEATURES)), np.zeros(2)
-    if total[0]:
-        # at most FEATURES rows: how often each feature occurs, and with which posterior
-        each = sample.select(F.explode("features").alias("f"), "p_q_all", "p_t_all").groupBy("f").agg(F.count("*").alias("n"), F.sum("p_q_all").alias("q"), F.sum("p_t_all").alias("t")).where("n >= 3").toPandas()
-        chosen: Counter = Counter()
-        for column, at in (("q", 1), ("t", 2)):
-            n, rate = each["n"].to_numpy(), total[at] / total[0]
-            z = np.abs(each[column].to_numpy() - n * rate) / np.sqrt(np.maximum(1e-9, n * rate * (1 - rate)) + 1)
-            for f in each["f"].to_numpy()[np.argsort(-z, kind="stable")[: SCREENED // 2]].tolist():
-                chosen[f] += 1
-        names = sorted(chosen)
-        own = _only(sample, np.array(names)).toArrow()
-        lists = [np.searchsorted(names, x.values.to_numpy()) for x in own.column("features").combine_chunks()]
-        for i, column in enumerate(("p_q_all", "p_t_all")):
-            w, biases[i] = train(lists, own.column(column).to_numpy(), len(names))
-            weights[i, names] = w
+    weights, biases = fit(sample)
     return Scorer(weights, biases), accuracy
 
 

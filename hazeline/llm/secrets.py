@@ -8,8 +8,11 @@ the likelihood of its format against a letter model of ordinary long words; what
 likely as the labelled values themselves becomes a further span.
 
 Null texts count as empty. Repeated rows, null ids and extra columns have no influence
-on a row's spans, but for the sample, which takes distinct values. Without any labelled
-value there are no automata and no further spans. Offsets are code points.
+on a row's spans, but for the sample, which takes distinct values; ties of its order by hash
+go by the value. Without any labelled value, as in an empty table, there are no automata and
+no further spans. Texts and values of any length are read in full; a candidate has 16
+characters or more, as shorter runs are mostly words. Offsets are code points. Values are in
+no table that is written: the sample comes to the driver, the rest is found again from the texts.
 """
 
 from __future__ import annotations
@@ -21,10 +24,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import session_limits, slices, table, written
+from .common import session_limits, slices, table
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -33,7 +36,7 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "format")
 SAMPLE = 400  #: distinct labelled values of a kind that an automaton is inferred from
 ORDINARY = 2000  #: other runs for the letter model
-LONGEST = 128  #: characters of a value in either sample, and of a candidate that are scored at once
+LONGEST = 128  #: characters of a value in either sample
 ALPHA, SMOOTH, MARGIN = 0.05, 0.01, 0.35
 
 
@@ -175,45 +178,43 @@ class Formats:
         self.letters = Letters(ordinary)
 
     def likely(self, value: str) -> bool:
-        """As likely as labelled values in every stretch of ``LONGEST`` characters, and more than a word."""
-        parts = [value[i : i + LONGEST] for i in range(0, len(value), LONGEST)]
-        return bool(self.kinds) and all(any((x := k.rate(p)) >= k.floor and x > self.letters.rate(p) + MARGIN for k in self.kinds) for p in parts)
+        """As likely a character as the labelled values of some kind, and more than in a word."""
+        word = self.letters.rate(value)
+        return any((x := k.rate(value)) >= k.floor and x > word + MARGIN for k in self.kinds)
 
     def added(self, found: list[tuple[int, int, str]]) -> list[tuple[int, int, int]]:
         return [(s, 3, e) for s, e, v in found if self.likely(v)]
 
 
-_SPAN = "array<struct<start:long,kind:int,end:long,value:string>>"
-_RUN = "array<struct<start:long,end:long,value:string>>"
+OTHER = 3  #: kind of the runs that are no labelled value
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans and candidates of every document: one pass over the texts."""
+def values(docs: DataFrame) -> DataFrame:
+    """kind, value: the distinct values, within a task, of the base rules and the other runs; none above ``LONGEST`` characters."""
     session_limits(docs.sparkSession)
-    span = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("value", pa.string())]))
-    run_ = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 16 << 20):
-            base, more = [], []
+            found = set()
             for text in batch.column("text").to_pylist():
                 own = base_spans(text or "")
-                base.append([dict(start=s, kind=k, end=e, value=v) for s, k, e, v in own])
-                more.append([dict(start=s, end=e, value=v) for s, e, v in candidates(text or "", own)])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(base, span), pa.array(more, run_)], names=["doc_id", "base", "more"])
+                found.update((k, v) for _, k, _, v in own)
+                found.update((OTHER, v) for _, _, v in candidates(text or "", own))
+            rows = [x for x in found if len(x[1]) <= LONGEST]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.string())], names=["kind", "value"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id long, base {_SPAN}, more {_RUN}")
+    return docs.select("text").mapInArrow(run, "kind int, value string")
 
 
-def infer(scan: DataFrame) -> Formats:
+def infer(docs: DataFrame) -> Formats:
     """Automata from at most ``SAMPLE`` values a kind and ``ORDINARY`` other runs, taken by hash."""
-    values = scan.select(F.explode("base").alias("b")).select("b.kind", "b.value").where(F.length("value") <= LONGEST).distinct()
-    labelled: dict[int, list[str]] = {}
-    for kind in range(3):
-        rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE).collect()
-        labelled[kind] = [r.value for r in rows]
-    runs = scan.select(F.explode("more.value").alias("value")).where(F.length("value") <= LONGEST).distinct()
-    return Formats(labelled, [r.value for r in runs.orderBy(F.xxhash64("value"), "value").limit(ORDINARY).collect()])
+    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
+    first = values(docs).distinct().withColumn("nth", F.row_number().over(order))
+    rows = first.where((F.col("nth") <= SAMPLE) | (F.col("kind") == OTHER) & (F.col("nth") <= ORDINARY)).where(F.col("nth") <= max(SAMPLE, ORDINARY))
+    taken: dict[int, list[str]] = {k: [] for k in range(4)}
+    for r in rows.orderBy("kind", "nth").collect():
+        taken[r.kind].append(r.value)
+    return Formats({k: taken[k] for k in range(OTHER)}, taken[OTHER])
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -222,23 +223,23 @@ def _joined(spans: list[tuple[int, int, int]]) -> str:
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 and spans of every document."""
-    scan = written(scanned(docs), "secrets")
-    formats = infer(scan)
+    formats = infer(docs)
     names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     kinds = [pa.int64()] * 4 + [pa.string()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text", 16 << 20):
             rows = []
-            for doc_id, base, more in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "base", "more"))):
-                own = [(b["start"], b["kind"], b["end"]) for b in base]
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                base = base_spans(text or "")
+                own = [x[:3] for x in base]
                 n = Counter(k for _, k, _ in own)
-                every = own + formats.added([(m["start"], m["end"], m["value"]) for m in more])
+                every = own + formats.added(candidates(text or "", base))
                 rows.append((doc_id, n[0], n[1], n[2], hashlib.sha256(_joined(own).encode()).hexdigest(), _joined(every)))
             cols = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=names)
 
-    return scan.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def mask(text: str, spans: list[tuple[int, int, int]], with_: str = "[SECRET]") -> str:
@@ -253,7 +254,7 @@ def mask(text: str, spans: list[tuple[int, int, int]], with_: str = "[SECRET]")
 
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with the secrets of ``text`` masked; a null text stays null, n_chars (if there) follows."""
-    formats = infer(written(scanned(docs), "secrets"))
+    formats = infer(docs)
     columns = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

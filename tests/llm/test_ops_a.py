@@ -83,7 +83,7 @@ def test_components_of_a_chain_and_a_star(spark):
 
 def test_mixing_meets_targets(spark, sf):
     docs = cases.given(spark, sf).where("doc_id is null or doc_id <> 10030")  # half of its source: whole copies can't be near
-    got = mixing.mix(docs).toPandas()
+    got = mixing.mixed_rows(docs).toPandas()
     sizes = defaultdict(int)
     for r in docs.collect():
         sizes[r.source] += len(words(r.text))
@@ -108,7 +108,7 @@ def test_mixing_meets_targets(spark, sf):
         assert own["source_size"].iloc[0] == sizes[s]
         taken = (own["copies"] * own["size"]).sum()
         assert abs(taken - target[s]) <= max(0.02 * target[s], 40)
-    again = mixing.mix(docs.repartition(3)).toPandas()
+    again = mixing.mixed_rows(docs.repartition(3)).toPandas()
     key = ["doc_id", "size", "copies"]
     assert sorted(map(repr, got[key].values.tolist())) == sorted(map(repr, again[key].values.tolist()))
 
@@ -116,7 +116,7 @@ def test_mixing_meets_targets(spark, sf):
 def test_mixing_of_empty_tables_and_texts(spark):
     assert mixing.mix(cases.empty(spark)).count() == 0
     rows = cases.table(spark).where("text is null or trim(text) = ''")
-    assert {(r.size, r.target, r.copies) for r in mixing.mix(rows).collect()} == {(0, 0.0, 0)}
+    assert {(r.size, r.target, r.copies) for r in mixing.mixed_rows(rows).collect()} == {(0, 0.0, 0)}
 
 
 def test_rates_are_tilted_and_meet_the_dual(spark, sf):
@@ -127,19 +127,34 @@ def test_rates_are_tilted_and_meet_the_dual(spark, sf):
             assert (own * np.minimum(2, np.exp(r.lam * own / r.mean))).sum() == pytest.approx(r.target, rel=1e-6)
 
 
+def test_mixing_of_repeated_rows_keeps_to_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SPREAD", 100)
+    rows = [(None if i % 3 else 7, "same text of five words", "s", 1) for i in range(600)] + [(i, "w " * (i % 40 + 1), "s", 1) for i in range(1000, 1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies long").withColumn("m", F.lit("own"))
+    got = mixing.mixed_rows(docs, share=1.3).toPandas()
+    assert len(got) == 1000 and set(got["copies"]) <= {0, 1, 2}
+    target = got["target"].iloc[0]
+    assert (got["copies"] * got["size"]).sum() == pytest.approx(target, rel=0.005)
+    out = mixing.taken(docs, share=1.3)
+    assert out.columns == docs.columns and {tuple(r) for r in out.select("copies", "m").distinct().collect()} == {(1, "own")}
+    assert out.select(F.sum(F.size(F.split(F.trim("text"), " ")))).first()[0] == pytest.approx(target, rel=0.005)
+
+
 def brute_licenses(text):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     at = {label: [i for i in range(len(w)) if w[i : i + len(p.split())] == p.split()] for p, label in licenses.PHRASES.items()}
     every = sorted(i for x in at.values() for i in x)
     k = licenses.K
     more, best = set(), 0.0
+    own = defaultdict(list)
+    for i in range(len(w) - k + 1):
+        own[tuple(w[i : i + k])].append(i)
     for label, body in licenses.TEMPLATES:
         t = re.findall(r"[a-z0-9]+", body.lower())
         hits = defaultdict(set)
-        for i in range(len(w) - k + 1):
-            for j in range(len(t) - k + 1):
-                if w[i : i + k] == t[j : j + k]:
-                    hits[i - j].add(j)
+        for j in range(len(t) - k + 1):
+            for i in own.get(tuple(t[j : j + k]), ()):
+                hits[i - j].add(j)
         island, last = set(), None
         for d in [*sorted(hits), None]:
             if d is None or last is not None and d - last > licenses.GAP:
@@ -168,6 +183,19 @@ def test_license_spans_survive_an_inserted_word(spark):
     assert {r.label: (r.first_word, r.last_word) for r in licenses.spans(docs).collect()}["gpl-3.0"] == (1, 13)
 
 
+def test_license_bodies_and_long_texts(spark, monkeypatch):
+    mit = next(t for label, t in licenses.TEMPLATES if label == "mit" and len(t) > 900)
+    docs = spark.createDataFrame([(1, "head " + mit.replace("modify", "alter") + " tail"), (2, "license " * 200_000 + "licensed under cc by 4.0")], "doc_id long, text string")
+    want = {1: (len(brute_words(mit)) + 2, "mit"), 2: (200_006, "cc-by,cc-by-4.0")}
+    for bound in (licenses.MOST_TEMPLATE_WORDS, 10):  # with the templates broadcast, and shuffled
+        monkeypatch.setattr(licenses, "MOST_TEMPLATE_WORDS", bound)
+        assert {r.doc_id: (r.n_words, r.labels) for r in licenses.scan(docs).collect()} == want
+
+
+def brute_words(text):
+    return re.findall(r"[a-z0-9]+", text.lower())
+
+
 def brute_cut(rows, width=50):
     raws = [((10**18 if i is None else i), (t or "").encode()) for i, t in rows]
     least = {}

@@ -44,6 +44,46 @@ def test_suffix_tree_base_scores_equal_brute_force(spark, sf, monkeypatch):
     assert suffixtree.scored(cases.empty(spark)).count() == 0
 
 
+def test_words_before_tokens_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows, seen, spelled = [], defaultdict(Counter), defaultdict(list)
+    for rid in range(60):
+        before, token = rng.integers(0, 12, 30), rng.integers(0, 6, 30)
+        token = np.where(before < 4, before, token)  # some words foretell what follows
+        log = np.rint(-rng.random(30) * 5 * suffixtree.LOG_UNIT).astype(int)
+        rows.append((rid, rid % 5 == 1, before.tolist(), token.tolist(), log.tolist()))
+        for b, t, x in zip(*rows[-1][2:]):
+            spelled[b, t].append(x / suffixtree.LOG_UNIT)
+            if rid % 5 != 1:
+                seen[b][t] += 1
+    rows.append((60, True, [99], [3], [-100]))  # a word that training does not know
+    mean = {k: np.mean(x) for k, x in spelled.items()}
+
+    def p(b, t, x):
+        n = sum(seen[b].values())
+        return math.log(max(seen[b][t] - 0.5, 0) / n + 0.5 * len(seen[b]) / n * math.exp(x))
+
+    gains = {b: sum(c * (p(b, u, mean[b, u]) - mean[b, u]) for u, c in own.items()) for b, own in seen.items() if sum(own.values()) > 1}
+    bar = sum(sorted(gains.values())[4:6]) / 2
+    got = defaultdict(list)
+    for r in suffixtree.after_words(spark.createDataFrame(rows, "rid long, held_out boolean, before array<long>, token array<long>, log array<int>"), divergence=bar).collect():
+        got[r.rid].append(r.log)
+    for rid, _, before, token, log in rows:
+        want = [p(b, t, x / suffixtree.LOG_UNIT) if gains.get(b, 0) >= bar else x / suffixtree.LOG_UNIT for b, t, x in zip(before, token, log)]
+        assert sorted(got[rid]) == pytest.approx(sorted(want))
+
+
+def test_suffix_tree_tells_texts_that_occur_twice(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 8))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(300)]
+    train = [i for i in range(2000) if not suffixtree.is_held_out(i)]
+    rows = list(zip(train, texts + texts[:60]))
+    got = suffixtree.scored(spark.createDataFrame(rows, "doc_id long, text string")).toPandas().set_index("doc_id")["score"]
+    once, twice = [got[i] for i in train[60:300]], [got[i] for i in train[:60]]
+    assert min(twice) > max(once)
+
+
 def test_suffix_tree_is_a_distribution():
     bodies = [suffixtree.body_of(t) for t in ("the cat sat on the mat " * 30, "a dog the dog " * 20, "é ü ß " * 9, "")]
     grams, sizes = suffixtree.grams_of(bodies)
@@ -157,6 +197,47 @@ def test_media_round_trip(spark, sf):
         assert len(r.thumbnail) % 64 == 0 and not bytes(r.thumbnail)[len(raw) :].strip(b"\0") and len(r.thumbnail) == max(64, -(-len(raw) // 64) * 64)
 
 
+def test_media_query_equals_brute_force(spark, tmp_path):
+    cases.table(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    got = defaultdict(list)
+    for r in jpeg.op10_media(spark, str(tmp_path)).collect():
+        got[r.doc_id].append(tuple(r)[1:])
+    for doc_id, text, *_ in cases.rows():
+        raw = (text or "").encode()
+        padded = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        media = jpeg.encode([padded])[0]
+        assert media[:2] == b"\xff\xd8" and media[-2:] == b"\xff\xd9"
+        parts = [f"{w}x{h}:{jpeg.average_hash(t)}" for w, h, t in jpeg.decode([media])[0]]
+        own = next(x for x in got[doc_id] if x[2] == hashlib.sha256(padded).hexdigest())
+        got[doc_id].remove(own)
+        assert own[:6] == (len(raw), len(padded), hashlib.sha256(padded).hexdigest(), zlib.crc32(padded[-64:]), len(media), hashlib.sha256(media).hexdigest())
+        assert [x.rsplit(":", 1)[0] for x in own[6].split(";")] == parts
+    assert not any(got.values())
+    (tmp_path / "none").mkdir()
+    cases.empty(spark).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert jpeg.op10_media(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_average_hash_is_that_of_plain_means():
+    rng = np.random.default_rng(8)
+    for high, wide in ((8, 8), (16, 24), (1, 1), (3, 40)):
+        thumb = rng.integers(0, 256, (high, wide)).astype(np.uint8)
+        means = []
+        for y in range(8):
+            for x in range(8):
+                y0, y1, x0, x1 = y * high // 8, (y + 1) * high // 8, x * wide // 8, (x + 1) * wide // 8
+                y1, x1 = min(max(y1, y0 + 1), high), min(max(x1, x0 + 1), wide)
+                means.append(float(thumb[min(y0, y1 - 1) : y1, min(x0, x1 - 1) : x1].mean()))
+        bits = "".join("1" if m > sum(means) / 64 else "0" for m in means)
+        assert jpeg.average_hash(thumb) == f"{int(bits, 2):016x}"
+
+
+def test_thumbnails_of_a_table_with_clashing_columns(spark):
+    rows = jpeg.stored(cases.table(spark)).withColumns({"Feature": F.lit("x"), "width": F.lit("y")})
+    got = jpeg.thumbnails(rows)
+    assert got.columns == ["doc_id", "n_bytes", "media", "width", "height", "thumbnail", "feature"] and got.where("feature is null").count() == 0
+
+
 def test_media_of_all_bytes_and_many_images(monkeypatch):
     rng = np.random.default_rng(1)
     loads = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (64, 128, 64 * 77)] + [bytes([255] * 640), bytes(range(256))]
@@ -206,6 +287,28 @@ def test_quality_on_held_out_labels(spark, sf):
     assert len(insults) and (~insults["keep"]).mean() > 0.9
 
 
+def test_quality_scorer_is_optimal_over_all_features(spark):
+    rng = np.random.default_rng(7)
+    n, names = 400, rng.choice(quality.FEATURES, 300, replace=False)
+    y = rng.random(n) < 0.4
+    rows = [sorted({int(f) for k, f in enumerate(names) if rng.random() < (0.3 if k < 12 and y[i] else 0.05)}) for i in range(n)]
+    p = np.where(y, 0.9, 0.1)
+    sample = spark.createDataFrame([(r, float(a), float(b)) for r, a, b in zip(rows, p, 1 - p)], "features array<int>, p_q_all double, p_t_all double")
+    order = {f: i for i, f in enumerate(sorted(names.tolist()))}
+    penalty = 2e-3
+    whole, bias = quality.train([np.array([order[f] for f in r], dtype=np.int64) for r in rows], p, len(order), penalty, steps=3000)
+    weights, biases = quality.fit(sample, penalty, working=7)  # grows by a few at a time
+
+    def loss(w, b):
+        z = b + np.array([sum(w[f] for f in r) for r in rows])
+        weight = quality.class_weights(p, y.sum(), (~y).sum())
+        return (weight * (np.logaddexp(0, z) - p * z)).sum() + penalty * np.abs(list(w.values())).sum()
+
+    best = loss({f: whole[i] for f, i in order.items()}, bias)
+    assert loss({f: weights[0, f] for f in order}, biases[0]) == pytest.approx(best, rel=1e-3)
+    assert not np.delete(weights[0], names).any() and (weights[0] != 0).sum() > 7
+
+
 def test_quality_of_awkward_tables(spark, sf):
     docs = cases.given(spark, sf)
     for labels in (None, spark.createDataFrame([(0, 1, 0), (0, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int")):
@@ -304,3 +407,17 @@ def test_pipeline_stages(spark, sf, tmp_path):
     assert last.count() == 0
     got = corpus_pipeline.run(spark, sf)
     assert got.count() == n[5]
+
+
+def test_pipeline_stages_on_awkward_tables(spark, sf):
+    docs = cases.given(spark, sf).withColumns({c: F.lit("own") for c in ("_id", "_noid", "size", "copies", "m", "turn", "keep", "features", "mark")})
+    for table in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, table, sf)
+            if name == "packing":
+                assert out.agg(F.sum("length")).first()[0] == out.agg(F.sum(F.when(F.col("start") == 0, F.col("doc_tokens")))).first()[0]
+            else:
+                assert out.columns == docs.columns
+                assert out.where("_id <> 'own' or _noid <> 'own' or size <> 'own' or copies <> 'own' or turn <> 'own'").count() == 0
+            if name == "quality" and table is docs:
+                table = out.unionByName(docs.where("doc_id is null or text is null or text = ''"))
