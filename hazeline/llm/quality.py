@@ -35,7 +35,7 @@ from .common import session_limits, slices, table, written
 
 FEATURES = 1 << 18
 SAMPLE = 20_000  #: expected labelled documents that the scorers are trained on
-SPARSITY = 5e-4  #: the L1 penalty, as a share of the documents
+SPARSITY = 5e-4  #: the L1 penalty on a full sample; on a smaller one it is larger, by the root of the ratio
 WORKING = 4_000  #: features that join the working set at a time
 LEAST_SEEN = 3  #: documents of the sample that a feature must occur in to have a weight
 SLACK = 0.05  #: relative excess of a gradient over the penalty that counts as optimal
@@ -334,7 +334,7 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
         known = spark.createDataFrame([(int(c), float(p)) for c, p in posterior[column].items()], f"{column} int, p_{column} double")
         sample = sample.join(known, column)  # as many rows as vote patterns
     sample = written(sample.select("features", "p_q_all", "p_t_all"), "sample")
-    weights, biases = fit(sample)
+    weights, biases = fit(sample, SPARSITY * max(1.0, SAMPLE / max(1, sample.count())) ** 0.5)
     return Scorer(weights, biases), accuracy
 
 
