@@ -36,10 +36,11 @@ from .common import session_limits, slices, table, written
 FEATURES = 1 << 18
 SAMPLE = 20_000  #: expected labelled documents that the scorers are trained on
 SPARSITY = 5e-4  #: the L1 penalty on a full sample; on a smaller one it is larger, by the root of the ratio
-WORKING = 4_000  #: features that join the working set at a time
+WORKING = 2_000  #: features that join the working set at a time
 LEAST_SEEN = 3  #: documents of the sample that a feature must occur in to have a weight
 SLACK = 0.05  #: relative excess of a gradient over the penalty that counts as optimal
 STEM = (4, 5, 6)
+STILL = 2e-4  #: change of every weight in a step at which training ends
 REMEMBERED = 300_000  #: words whose features a worker keeps
 
 DECORATED = re.compile(r"[*#$%&]{3}")
@@ -49,11 +50,15 @@ ENGLISH = frozenset(b"the of and to that it was for with by from be this which n
 INSULTS = frozenset(b"idiot idiots moron morons stupid dumb scum trash loser losers clown clowns worthless pathetic disgusting filthy vermin imbecile cretin pig pigs garbage hateful".split())
 
 
-def statistics(text: str) -> tuple[float, ...]:
+def plain_words(text: str) -> list[bytes]:
+    return [w.strip(PUNCTUATION) for w in text.lower().encode("utf-8", "surrogatepass").split()]
+
+
+def statistics(text: str, low: list[bytes] | None = None) -> tuple[float, ...]:
     """Shares of decorated words, shouts, table bars, repeated words, repeated lines, capitals, stop words; words and their mean length."""
     words = text.split()
     n = max(1, len(words))
-    low = [w.strip(PUNCTUATION) for w in text.lower().encode("utf-8", "surrogatepass").split()]
+    low = plain_words(text) if low is None else low
     lines = text.split("\n")
     same = sum(a == b for a, b in zip(low, low[1:]) if a)
     return (
@@ -169,7 +174,10 @@ def train(rows: list[np.ndarray], target: np.ndarray, n: int, sparsity: float =
             t = 1.0  # momentum leads uphill: begin anew
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         y, y_bias = new + (t - 1) / t_new * (new - w), new_bias + (t - 1) / t_new * (new_bias - bias)
+        moved = max(float(np.abs(new - w).max(initial=0.0)), abs(new_bias - bias))
         w, bias, t = new, new_bias, t_new
+        if moved < STILL:
+            break
     return w, bias
 
 
@@ -294,10 +302,10 @@ def voted(docs: DataFrame, share: float) -> DataFrame:
             q, t, features = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 text = text or ""
-                s = statistics(text)
-                words = {w.strip(PUNCTUATION) for w in text.encode("utf-8", "surrogatepass").lower().split()}
+                low = plain_words(text)
+                s = statistics(text, low)
                 q.append(encode_votes(quality_votes(s)))
-                t.append(encode_votes(toxic_votes(words)))
+                t.append(encode_votes(toxic_votes(set(low))))
                 taken = doc_id is not None and xxhash.xxh32_intdigest(str(doc_id)) < most
                 features.append(document_features(text, s) if taken else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(q, pa.int32()), pa.array(t, pa.int32()), pa.array(features, pa.list_(pa.int32()))], names=["doc_id", "q", "t", "features"])
@@ -333,7 +341,8 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
     for column in ("q_all", "t_all"):
         known = spark.createDataFrame([(int(c), float(p)) for c, p in posterior[column].items()], f"{column} int, p_{column} double")
         sample = sample.join(known, column)  # as many rows as vote patterns
-    sample = written(sample.select("features", "p_q_all", "p_t_all"), "sample")
+    spread = sample.select("features", "p_q_all", "p_t_all").repartition(spark.sparkContext.defaultParallelism, F.xxhash64("features"))
+    sample = written(spread, "sample")
     weights, biases = fit(sample, SPARSITY * max(1.0, SAMPLE / max(1, sample.count())) ** 0.5)
     return Scorer(weights, biases), accuracy
 
@@ -341,10 +350,17 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
 def _only(sample: DataFrame, names: np.ndarray) -> DataFrame:
     """``sample`` with no other features than the sorted ``names``."""
 
+    wanted = np.zeros(FEATURES, dtype=bool)
+    wanted[names] = True
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [[f for f, ok in zip(x, np.isin(x, names).tolist()) if ok] for x in batch.column("features").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.list_(pa.int32())), batch.column("p_q_all"), batch.column("p_t_all")], names=["features", "p_q_all", "p_t_all"])
+            column = batch.column("features")
+            flat, n = column.flatten().to_numpy(), pc.list_value_length(column).to_numpy()
+            use = wanted[flat]
+            before = np.concatenate(([0], np.cumsum(use)))
+            kept = pa.ListArray.from_arrays(pa.array(before[np.concatenate(([0], np.cumsum(n)))].astype(np.int32)), pa.array(flat[use]))
+            yield pa.RecordBatch.from_arrays([kept, batch.column("p_q_all"), batch.column("p_t_all")], names=["features", "p_q_all", "p_t_all"])
 
     return sample.mapInArrow(run, sample.schema)
 
