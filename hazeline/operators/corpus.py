@@ -78,21 +78,16 @@ def day_tier(docs: DataFrame, days: int = 90) -> DataFrame:
     return window_days(docs, days).groupBy("day").pivot("risk_tier", list(TIERS)).count().na.fill(0)
 
 
-def totals(rows: DataFrame) -> DataFrame:
+def totals(docs: DataFrame, entities: DataFrame, relations: DataFrame) -> DataFrame:
     """documents, labeled, unlabeled, multi_label, entities, relations, avg_entities.
 
-    rows: n_labels, n_entities, n_relations for each document.
+    docs: n_labels of each document; the other two one row for each entity and relation of them.
     """
     n = F.count("*")
-    return rows.agg(
-        n.alias("documents"),
-        F.count_if(F.col("n_labels") > 0).alias("labeled"),
-        F.count_if(F.col("n_labels") == 0).alias("unlabeled"),
-        F.count_if(F.col("n_labels") > 1).alias("multi_label"),
-        F.coalesce(F.sum("n_entities"), F.lit(0)).cast("long").alias("entities"),
-        F.coalesce(F.sum("n_relations"), F.lit(0)).cast("long").alias("relations"),
-        F.round(F.try_divide(F.sum("n_entities"), n), 1).alias("avg_entities"),
-    )
+    rows = docs.agg(n.alias("documents"), *[F.count_if(c).alias(k) for k, c in (("labeled", F.col("n_labels") > 0), ("unlabeled", F.col("n_labels") == 0), ("multi_label", F.col("n_labels") > 1))])
+    for name, many in (("entities", entities), ("relations", relations)):
+        rows = rows.join(F.broadcast(many.agg(n.alias(name))))
+    return rows.withColumn("avg_entities", F.round(F.coalesce(F.try_divide("entities", "documents"), F.lit(0.0)), 1))
 
 
 def label_stats(labels: DataFrame) -> DataFrame:

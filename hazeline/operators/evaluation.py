@@ -11,8 +11,14 @@ def _round(x: Column, digits: int = 2) -> Column:
     return F.coalesce(F.bround(x, digits), F.lit(0.0))
 
 
+def last_lines(lines: DataFrame) -> DataFrame:
+    """id, label of lines (ord, id, labels): of equal ids the last line counts, whatever the others say; null label without any."""
+    last = lines.where("id IS NOT NULL").groupBy(F.col("id").cast("string").alias("id")).agg(F.max_by(F.struct("labels"), "ord").alias("x"))
+    return last.select("id", F.explode_outer("x.labels").alias("label"))
+
+
 def per_label(gold: DataFrame, predicted: DataFrame) -> DataFrame:
-    """label, tp, fp, fn, precision, recall, f1, support over the ids that both sides have.
+    """label, tp, fp, fn, precision, recall, f1, support, predicted over the ids that both sides have.
 
     gold, predicted: id, label, a row with null label for a document without any. Labels of
     ids without a match are listed too, with zeros.
@@ -29,7 +35,7 @@ def per_label(gold: DataFrame, predicted: DataFrame) -> DataFrame:
     )
     precision, recall = F.try_divide("tp", F.col("tp") + F.col("fp")), F.try_divide("tp", F.col("tp") + F.col("fn"))
     f1 = F.try_divide(2 * precision * recall, precision + recall)
-    return rows.select("label", "tp", "fp", "fn", _round(precision).alias("precision"), _round(recall).alias("recall"), _round(f1).alias("f1"), (F.col("tp") + F.col("fn")).alias("support"))
+    return rows.select("label", "tp", "fp", "fn", _round(precision).alias("precision"), _round(recall).alias("recall"), _round(f1).alias("f1"), (F.col("tp") + F.col("fn")).alias("support"), (F.col("tp") + F.col("fp")).alias("predicted"))
 
 
 def overall(metrics: DataFrame) -> DataFrame:

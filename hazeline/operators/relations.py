@@ -1,7 +1,9 @@
 """Relations between near entities.
 
-A pair is at most 200 characters apart; which rule applies follows from the two types. All
-triggers are booleans over the pair's window of text, so each rule is one CASE expression.
+A pair is at most 200 characters apart; which rules apply follows from the two types. A
+document's entities are gathered into one array, and the pairs that have a rule are made
+inside the row, so entities are computed once and nothing is joined with itself. Windows of
+text, triggers and sentences are looked at only for those pairs.
 """
 
 from __future__ import annotations
@@ -56,83 +58,86 @@ def _first_hit(kind: str, window: Column) -> Column:
     return out
 
 
-def _fallback(kind: str, window: Column) -> Column:
-    low, found = F.lower(window), F.lit(False)
+def _fallback(kind: str, low: Column) -> Column:
+    """The confidence of words that carry a relation when no trigger does; ``low`` is the lower-cased window."""
+    found = F.lit(False)
     for word in pat.FALLBACK[kind]:
         found = found | F.contains(low, F.lit(word))
     return F.when(found, F.lit(0.5))
 
 
-def pairs(docs: DataFrame, entities: DataFrame) -> DataFrame:
-    """Relations of phase one: for each ordered pair the first rule that gives one."""
-    rows = neighbours(entities).join(docs.select("id", "content"), "id")
-    text = F.col("content")
-    rows = rows.withColumn("window", window_of(text, F.least("a_start_pos", "b_start_pos"), F.greatest("a_end_pos", "b_end_pos")))
-    w, ta, tb = F.col("window"), F.col("a_type"), F.col("b_type")
-
-    def ent(side: str) -> dict[str, Column]:
-        return {c: F.col(f"{side}_{c}") for c in ("type", "value", "start_pos", "end_pos")}
-
-    def relation(kind: str, source, target, confidence: Column, evidence: Column) -> Column:
-        made = F.struct(F.lit(kind).alias("type"), source["value"].alias("source"), source["type"].alias("source_type"), target["value"].alias("target"), target["type"].alias("target_type"), evidence.alias("evidence"), confidence.alias("confidence"))
-        return F.when(confidence.isNotNull(), made)
-
-    def inside(other, cve) -> Column:
-        return (other["start_pos"] >= left_edge(text, cve["start_pos"])) & (other["end_pos"] <= right_edge(text, cve["end_pos"]))
-
-    def exploits(cve, other) -> Column:
-        c = F.when(inside(other, cve), F.coalesce(_first_hit("exploits", w), _fallback("exploits", w)))
-        return relation("exploits", other, cve, c, between(text, cve["start_pos"], cve["end_pos"]))
-
-    def plain(kind: str, x, y) -> Column:
-        return relation(kind, x, y, F.coalesce(_first_hit(kind, w), _fallback(kind, w)), between(text, x["start_pos"], y["end_pos"]))
-
-    def affects(cve, product) -> Column:
-        c = F.when(inside(product, cve), F.coalesce(_first_hit("affects", w), _fallback("affects", w)))
-        return relation("affects", cve, product, c, between(text, cve["start_pos"], product["end_pos"]))
-
-    a, b = ent("a"), ent("b")
-    is_a = lambda *t: ta.isin(*t)
-    is_b = lambda *t: tb.isin(*t)
-    chain = [
-        F.when(is_a("cve_id") & is_b(*THINGS), exploits(a, b)),
-        F.when(is_b("cve_id") & is_a(*THINGS), exploits(b, a)),
-        F.when(is_a("organization") & is_b("malware"), plain("uses", a, b)),
-        F.when(is_b("organization") & is_a("malware"), plain("uses", b, a)),
-        F.when(is_a("organization") & is_b("organization", "system"), plain("targets", a, b)),
-        F.when(is_b("organization") & is_a("organization", "system"), plain("targets", b, a)),
-        F.when(is_a("malware") & is_b("malware"), relation("drops", a, b, _first_hit("drops", w), between(text, a["start_pos"], b["end_pos"]))),
-        F.when(is_a("cve_id") & is_b("organization", "system"), affects(a, b)),
-        F.when(is_b("cve_id") & is_a("organization", "system"), affects(b, a)),
+def _candidates(a: Column, b: Column) -> Column:
+    """The rules that the types of two near entities allow, as structs; those of phase one in turn."""
+    ta, tb = a["type"], b["type"]
+    none = F.lit(None).cast("int")
+
+    def rule(phase: int, turn: int, kind: str, source: Column, target: Column, evidence: tuple[Column, Column], cve: Column | None = None) -> Column:
+        other = source if cve is target else target
+        low, high = (F.least(a["start_pos"], b["start_pos"]), F.greatest(a["end_pos"], b["end_pos"])) if phase == 1 else (a["start_pos"], a["end_pos"])
+        around = (none, none, none, none) if cve is None else (cve["start_pos"], cve["end_pos"], other["start_pos"], other["end_pos"])
+        fields = dict(
+            phase=F.lit(phase), turn=F.lit(turn), type=F.lit(kind), i=a["place"], j=b["place"], source=source["value"], source_type=source["type"], target=target["value"], target_type=target["type"],
+            low=low, high=high, cve_start=around[0], cve_end=around[1], other_start=around[2], other_end=around[3], said_from=evidence[0], said_to=evidence[1],
+        )
+        return F.struct(*[v.alias(k) for k, v in fields.items()])
+
+    def span(x: Column, y: Column) -> tuple[Column, Column]:
+        return x["start_pos"], y["end_pos"]
+
+    things, places = lambda t: t.isin(*THINGS), lambda t: t.isin("organization", "system")
+    is_cve, is_org, is_malware = (lambda t, k=k: t == k for k in ("cve_id", "organization", "malware"))
+    rules = [
+        F.when(is_cve(ta) & things(tb), rule(1, 1, "exploits", b, a, span(a, a), a)),
+        F.when(is_cve(tb) & things(ta), rule(1, 1, "exploits", a, b, span(b, b), b)),
+        F.when(is_org(ta) & is_malware(tb), rule(1, 1, "uses", a, b, span(a, b))),
+        F.when(is_org(tb) & is_malware(ta), rule(1, 1, "uses", b, a, span(b, a))),
+        F.when(is_org(ta) & places(tb), rule(1, 1, "targets", a, b, span(a, b))),
+        F.when(is_org(tb) & (ta == "system"), rule(1, 1, "targets", b, a, span(b, a))),
+        F.when(is_malware(ta) & is_malware(tb), rule(1, 1, "drops", a, b, span(a, b))),
+        F.when(is_cve(ta) & places(tb), rule(1, 2, "affects", a, b, span(a, b), a)),
+        F.when(is_cve(tb) & places(ta), rule(1, 2, "affects", b, a, span(b, a), b)),
+        F.when(is_cve(ta) & things(tb), rule(2, 1, "exploits", b, a, span(a, a), a)),
+        F.when(places(ta) & is_org(tb), rule(3, 1, "targets", b, a, span(b, a))),
     ]
-    return rows.withColumn("r", F.coalesce(*chain)).where("r IS NOT NULL").select("ord", "id", F.lit(1).alias("phase"), F.col("a_place").alias("i"), F.col("b_place").alias("j"), "r.*")
+    return F.array_compact(F.array(*rules))
 
 
-def implicit(docs: DataFrame, entities: DataFrame) -> DataFrame:
-    """Relations of phases two and three: a trigger near one entity, the first fitting neighbour."""
-    rows = neighbours(entities).join(docs.select("id", "content"), "id")
-    text = F.col("content")
-    near = window_of(text, F.col("a_start_pos"), F.col("a_end_pos"))
-    weak = F.lit(False)
-    for rx, confidence in pat.TRIGGERS["exploits"]:
-        if confidence == 0.6:
-            weak = weak | near.rlike(rx)
-    inside = (F.col("b_start_pos") >= left_edge(text, F.col("a_start_pos"))) & (F.col("b_end_pos") <= right_edge(text, F.col("a_end_pos")))
-    exploits = (F.col("a_type") == "cve_id") & F.col("b_type").isin(*THINGS) & inside & weak
-    targets = F.col("a_type").isin("organization", "system") & (F.col("b_type") == "organization") & near.rlike(pat.IMPLICIT_TARGET)
-    phase = F.when(exploits, 2).when(targets, 3)
-    first = Window.partitionBy("id", "ord", "phase", "a_place").orderBy("b_place")
-    hit = rows.withColumn("phase", phase).where("phase IS NOT NULL").withColumn("nth", F.row_number().over(first)).where("nth = 1")
-    evidence = F.when(F.col("phase") == 2, between(text, F.col("a_start_pos"), F.col("a_end_pos"))).otherwise(between(text, F.col("b_start_pos"), F.col("a_end_pos")))
-    return hit.select(
-        "ord", "id", "phase", F.col("a_place").alias("i"), F.col("b_place").alias("j"), F.when(F.col("phase") == 2, "exploits").otherwise("targets").alias("type"),
-        F.col("b_value").alias("source"), F.col("b_type").alias("source_type"), F.col("a_value").alias("target"), F.col("a_type").alias("target_type"), evidence.alias("evidence"), F.lit(0.6).alias("confidence"),
-    )
+def candidates(docs: DataFrame, entities: DataFrame) -> DataFrame:
+    """One row for every ordered pair of near entities and every rule that may apply to it, beside the content."""
+    entity = F.struct("place", "type", "value", "start_pos", "end_pos")
+    rows = entities.groupBy("ord", "id").agg(F.array_sort(F.collect_list(entity)).alias("es"))
+
+    def near(a: Column) -> Column:
+        others = F.filter("es", lambda b: (a["place"] != b["place"]) & (a["start_pos"] - b["end_pos"] <= NEAR) & (b["start_pos"] - a["end_pos"] <= NEAR))
+        return F.flatten(F.transform(others, lambda b: _candidates(a, b)))
+
+    each = rows.select("ord", "id", F.flatten(F.transform("es", near)).alias("c")).where(F.size("c") > 0).join(docs.select("id", "content"), "id")
+    return each.select("ord", "id", "content", F.explode("c").alias("c")).select("ord", "id", "content", "c.*")
 
 
 def relations(docs: DataFrame, entities: DataFrame) -> DataFrame:
-    """All phases, one row of each (type, source, target), the first."""
-    both = pairs(docs, entities).unionByName(implicit(docs, entities))
-    side = Window.partitionBy("id", "ord", "type", "source", "target").orderBy("phase", "i", "j")
-    kept = both.withColumn("nth", F.row_number().over(side)).where("nth = 1")
-    return kept.withColumn("place", F.row_number().over(Window.partitionBy("id", "ord").orderBy("phase", "i", "j"))).drop("nth", "phase", "i", "j").withColumn("method", F.lit("rule_based"))
+    """All phases, one row of each (type, source, target), the first.
+
+    Phase one takes for each ordered pair the first rule that gives a relation; phases two and
+    three take a trigger near one entity and the first neighbour that fits.
+    """
+    text, kind = F.col("content"), F.col("type")
+    rows = candidates(docs, entities).withColumn("window", window_of(text, F.col("low"), F.col("high")))
+    rows = rows.withColumn("low_window", F.lower("window"))
+    w, low = F.col("window"), F.col("low_window")
+    weak = F.lit(False)
+    for rx, confidence in pat.TRIGGERS["exploits"]:
+        if confidence == 0.6:
+            weak = weak | w.rlike(rx)
+    found = F.when((F.col("phase") == 2), F.when(weak, 0.6)).when(F.col("phase") == 3, F.when(w.rlike(pat.IMPLICIT_TARGET), 0.6))
+    for name in pat.TRIGGERS:
+        found = found.when(kind == name, F.coalesce(_first_hit(name, w), _fallback(name, low)))
+    hit = rows.withColumn("confidence", found).where("confidence IS NOT NULL").drop("window", "low_window")
+    inside = F.col("cve_start").isNull() | ((F.col("other_start") >= left_edge(text, F.col("cve_start"))) & (F.col("other_end") <= right_edge(text, F.col("cve_end"))))
+    hit = hit.where(inside)
+    first = Window.partitionBy("ord", "id", "phase", "i", F.when(F.col("phase") == 1, F.col("j"))).orderBy("j", "turn")
+    same = Window.partitionBy("ord", "id", "type", "source", "target").orderBy("phase", "i", "j")
+    kept = hit.withColumn("nth", F.row_number().over(first)).where("nth = 1").withColumn("nth", F.row_number().over(same)).where("nth = 1")
+    kept = kept.withColumn("evidence", between(text, F.col("said_from"), F.col("said_to")))
+    place = F.row_number().over(Window.partitionBy("ord", "id").orderBy("phase", "i", "j"))
+    return kept.withColumn("place", place).select("ord", "id", "type", "source", "source_type", "target", "target_type", "evidence", "confidence", "place", F.lit("rule_based").alias("method"))

@@ -37,10 +37,9 @@ def hash8(url: Column) -> Column:
     return F.substring(F.sha2(normalize(url), 256), 1, 8)
 
 
-def doc_id(prefix: str, *parts: Column) -> Column:
-    """Feed document id: prefix and 8 hex digits over the parts; a null part prints as None."""
-    text = F.concat(*[F.coalesce(p.cast("string"), F.lit("None")) for p in parts])
-    return F.concat(F.lit(f"{prefix}-"), F.substring(F.sha2(text, 256), 1, 8))
+def sha8(text: Column) -> Column:
+    """First 8 hex digits of the SHA-256 of a text, as the ids of feed documents end."""
+    return F.substring(F.sha2(text, 256), 1, 8)
 
 
 def classify(url: Column) -> Column:

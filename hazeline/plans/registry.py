@@ -135,13 +135,37 @@ def entity_type_counts(spark, sf_dir):
     return entities.long_values(unique_docs(spark, sf_dir)).groupBy("type").agg(F.count("*").alias("n"))
 
 
-_BOARDS = {"cve_id": "cve", "ipv4": "ip", "ipv6": "ip", "domain": "domain"}
-_board = "CASE " + " ".join(f"WHEN type = '{k}' THEN '{v}'" for k, v in _BOARDS.items()) + " END"
+_BOARDS = {"cve_id": "cve", "ipv4": "ip", "ipv6": "ip", "domain": "domain", "malware": "malware", "organization": "organization"}
+#: entities and relations of documents, as SQL can make them: up to four of each, in either case
+_TABLED = """WITH n(k) AS (VALUES (0), (1), (2), (3)),
+ent AS (SELECT e.event_id AS ord, concat('doc-', CAST(e.event_id AS STRING)) AS id, n.k + 1 AS place, 10 * n.k AS start_pos,
+  CASE (e.event_id + n.k) % 7 WHEN 0 THEN 'cve_id' WHEN 1 THEN 'ipv4' WHEN 2 THEN 'ipv6' WHEN 3 THEN 'domain' WHEN 4 THEN 'malware' WHEN 5 THEN 'organization' ELSE 'url' END AS type,
+  CASE WHEN e.user_id % 3 = 0 THEN concat('Value ', CAST(e.user_id % 40 AS STRING)) ELSE concat('value ', CAST(e.user_id % 40 AS STRING)) END AS value, CASE WHEN e.user_id % 5 = 0 THEN ' Known name ' WHEN e.user_id % 5 = 1 THEN '' ELSE NULL END AS canonical_value
+  FROM events e, n WHERE n.k < e.event_id % 5),
+rel AS (SELECT e.event_id AS ord, concat('doc-', CAST(e.event_id AS STRING)) AS id, n.k + 1 AS place, CASE (e.event_id + n.k) % 3 WHEN 0 THEN 'uses' WHEN 1 THEN 'targets' ELSE 'drops' END AS type,
+  concat('Actor ', CAST(e.user_id % 9 AS STRING)) AS source, CASE WHEN e.event_id % 11 = 0 THEN '' WHEN e.event_id % 7 = 0 THEN concat('Actor ', CAST(e.user_id % 9 AS STRING)) ELSE concat('thing ', CAST(e.user_id % 13 AS STRING)) END AS target FROM events e, n WHERE n.k < e.event_id % 3)"""
 
 
-@query(f"{_VALUES}, b AS (SELECT {_board} AS board, value, count(*) AS n, min(ord) AS first_at FROM vals WHERE {_board} IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY n DESC, first_at, value) AS rank FROM b) SELECT board, value, n, CAST(rank AS INT) AS rank FROM r WHERE rank <= 20")
+def _tabled(spark, sf_dir, name):
+    return spark.sql(f"{_TABLED} SELECT * FROM {name}".replace("FROM events e", "FROM {events} e"), events=_read(spark, sf_dir, "events"))
+
+
+_board = "CASE " + " ".join(f"WHEN type = '{k}' THEN '{v}'" for k, v in (("cve_id", "cve"), ("ipv4", "ip"), ("ipv6", "ip"), ("domain", "domain"), ("malware", "malware"), ("organization", "organization"))) + " END"
+
+
+@query(f"{_TABLED}, b AS (SELECT {_board} AS board, value, count(*) AS n, min(ord * 1000 + start_pos) AS first_at FROM ent WHERE {_board} IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY board ORDER BY n DESC, first_at, value) AS rank FROM b) SELECT board, value, n, CAST(rank AS INT) AS rank FROM r WHERE rank <= 20")
 def top_values(spark, sf_dir):
-    return corpus.top_values(entities.long_values(unique_docs(spark, sf_dir)).withColumn("start_pos", F.lit(0)), _BOARDS)
+    return corpus.top_values(_tabled(spark, sf_dir, "ent"), _BOARDS)
+
+
+@query()
+def top_entities(spark, sf_dir):
+    return corpus.top_values(entities.merged(unique_docs(spark, sf_dir)), _BOARDS)
+
+
+@query(f"{_TABLED} SELECT type, count(*) AS n, min(ord) AS first_ord FROM rel GROUP BY type")
+def relation_type_counts(spark, sf_dir):
+    return corpus.counts_by(_tabled(spark, sf_dir, "rel"), "type")
 
 
 @query(f"{_TXT} SELECT id, {', '.join(f'len({_distinct(x)}) AS n_{k}' for k, x in _FOUND.items())} FROM txt")
@@ -212,10 +236,10 @@ def ner_islands(spark, sf_dir):
     return entities.islands(rows).select("id", "type", "start_pos", "end_pos", "score")
 
 
-@query(f"WITH s AS ({_SPANS}), a AS (SELECT * FROM s WHERE ord % 3 = 0), b AS (SELECT * FROM s WHERE ord % 3 = 1) SELECT a.ord, a.id, a.start_pos, a.end_pos FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.id = a.id AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)")
+@query(f"WITH s AS ({_SPANS}), a AS (SELECT * FROM s WHERE type = 'malware'), b AS (SELECT * FROM s WHERE type = 'system') SELECT a.ord, a.id, a.start_pos, a.end_pos FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.id = a.id AND a.start_pos < b.end_pos AND b.start_pos < a.end_pos)")
 def ner_interval_antijoin(spark, sf_dir):
     s = _synthetic_spans(spark, sf_dir)
-    return entities.without_overlap(s.where("ord % 3 = 0"), s.where("ord % 3 = 1")).select("ord", "id", "start_pos", "end_pos")
+    return entities.without_overlap(s.where("type = 'malware'"), s.where("type = 'system'")).select("ord", "id", "start_pos", "end_pos")
 
 
 @query(f"WITH s AS (SELECT ord AS place, * FROM ({_SPANS})) SELECT a.ord AS a_place, b.ord AS b_place, a.id FROM s a JOIN s b ON a.id = b.id AND a.ord <> b.ord AND a.start_pos - b.end_pos <= 200 AND b.start_pos - a.end_pos <= 200")
@@ -287,11 +311,29 @@ def provenance(spark, sf_dir):
     return corpus.provenance(unique_docs(spark, sf_dir)).select("id", "title", "collected_at", "published_at", "source_category_hint")
 
 
-@query(f"{_RISK}, n AS (SELECT id, (CAST(conf_vulnerability IS NOT NULL AS INT) + CAST(conf_exploit IS NOT NULL AS INT) + CAST(conf_phishing IS NOT NULL AS INT) + CAST(conf_ransomware IS NOT NULL AS INT) + CAST(conf_threat_actor IS NOT NULL AS INT) + CAST(conf_ioc IS NOT NULL AS INT)) AS n_labels, net + hash_count + cve_count AS n_entities FROM risk) SELECT count(*) AS documents, count(*) FILTER (n_labels > 0) AS labeled, count(*) FILTER (n_labels = 0) AS unlabeled, count(*) FILTER (n_labels > 1) AS multi_label, CAST(sum(n_entities) AS BIGINT) AS entities, CAST(0 AS BIGINT) AS relations, round(sum(n_entities) / count(*), 1) AS avg_entities FROM n")
+_N_LABELS = " + ".join(f"CAST(conf_{c} IS NOT NULL AS INT)" for c in "vulnerability exploit phishing ransomware threat_actor ioc".split())
+
+
+def _n_labels(rows: DataFrame) -> DataFrame:
+    return rows.select(sum((F.col(f"conf_{c}").isNotNull().cast("int") for c in lex.CATEGORIES), F.lit(0)).alias("n_labels"))
+
+
+@query(
+    f"""{_CONF}, {_TABLED.replace("WITH n(k)", "n(k)")}, lab AS (SELECT {_N_LABELS} AS c FROM conf)
+SELECT count(*) AS documents, count(*) FILTER (c > 0) AS labeled, count(*) FILTER (c = 0) AS unlabeled, count(*) FILTER (c > 1) AS multi_label, (SELECT count(*) FROM ent) AS entities, (SELECT count(*) FROM rel) AS relations,
+round((SELECT count(*) FROM ent) / count(*), 1) AS avg_entities FROM lab"""
+)
 def stats_totals(spark, sf_dir):
-    rows = enriched(spark, sf_dir)
-    n = sum((F.col(f"conf_{c}").isNotNull().cast("int") for c in lex.CATEGORIES), F.lit(0))
-    return corpus.totals(rows.select(n.alias("n_labels"), (F.col("n_cves") + F.col("n_ips") + F.col("n_domains") + F.col("n_hashes")).alias("n_entities"), F.lit(0).alias("n_relations")))
+    rows = labeling.confidences(unique_docs(spark, sf_dir))
+    return corpus.totals(_n_labels(rows), _tabled(spark, sf_dir, "ent"), _tabled(spark, sf_dir, "rel"))
+
+
+@query()
+def corpus_stats(spark, sf_dir):
+    """The same over the corpus's own entities, of all types, and relations."""
+    rows = unique_docs(spark, sf_dir)
+    found = entities.merged(rows)
+    return corpus.totals(_n_labels(labeling.confidences(rows)), found, relations.relations(rows, found))
 
 
 @query(f"{_TXT} SELECT source, count(*) AS n, min(ord) AS first_ord FROM uniq GROUP BY source")
@@ -367,35 +409,79 @@ def alerts_active(spark, sf_dir):
 
 
 def _graph(spark, sf_dir):
-    rows = enriched(spark, sf_dir)
-    found = entities.merged(unique_docs(spark, sf_dir))
-    return graph.edges(rows, found, relations.relations(unique_docs(spark, sf_dir), found))
+    rows = unique_docs(spark, sf_dir)
+    top = graph.top_documents(enriched(spark, sf_dir).select("id", "ord", "risk_score"))
+    # only the documents of the sample need entities and relations
+    few = rows.join(F.broadcast(top.select("id")), "id", "left_semi")
+    found = entities.merged(few)
+    return graph.attempts(top, found, relations.relations(few, found))
 
 
 @query()
 def graph_edges(spark, sf_dir):
-    return graph.capped(_graph(spark, sf_dir))[1]
+    return graph.edges(_graph(spark, sf_dir))
 
 
 @query()
 def graph_nodes(spark, sf_dir):
-    return graph.circle(graph.capped(_graph(spark, sf_dir))[0])
+    return graph.circle(graph.nodes(_graph(spark, sf_dir)))
+
+
+_SCORED = "SELECT concat('doc-', CAST(event_id AS STRING)) AS id, event_id AS ord, CAST(user_id % 20 AS DOUBLE) / 20 AS risk_score FROM events"
+
+
+def _sampled_graph(spark, sf_dir):
+    scored = spark.sql(_SCORED.replace("FROM events", "FROM {events}"), events=_read(spark, sf_dir, "events"))
+    return graph.attempts(scored, _tabled(spark, sf_dir, "ent"), _tabled(spark, sf_dir, "rel"))
+
+
+_TRIED = f"""{_TABLED}, top AS (SELECT id, row_number() OVER (ORDER BY risk_score DESC, ord) AS r FROM ({_SCORED}) ORDER BY risk_score DESC, ord LIMIT 150),
+named AS (SELECT *, trim(coalesce(nullif(canonical_value, ''), value)) AS raw FROM ent), ks AS (SELECT r, id, type, raw, row_number() OVER (PARTITION BY id ORDER BY place) AS k FROM named JOIN top USING (id) WHERE type <> 'url'),
+t AS (SELECT r, 0 AS kind, place AS i, 0 AS j, concat('mention:', source) AS a, concat('mention:', target) AS b, source AS la, target AS lb, 'relation_endpoint' AS ta, 'relation_endpoint' AS tb, type AS rt, id FROM rel JOIN top USING (id) WHERE target <> ''
+  UNION ALL SELECT x.r, 1, x.k, y.k, concat(x.type, ':', x.raw), concat(y.type, ':', y.raw), x.raw, y.raw, x.type, y.type, 'co_occurs', x.id FROM ks x JOIN ks y ON x.id = y.id AND x.k < y.k AND x.k <= 15 AND y.k <= 15 AND (x.type <> y.type OR x.raw <> y.raw)),
+e AS (SELECT *, a <> b AND row_number() OVER (PARTITION BY least(a, b), greatest(a, b), rt ORDER BY r, kind, i, j) = 1 AS edge FROM t),
+s AS (SELECT *, row_number() OVER (ORDER BY r, kind, i, j) AS step, coalesce(sum(CAST(edge AS INT)) OVER (ORDER BY r, kind, i, j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM e), tried AS (SELECT * FROM s WHERE before < 400)"""
+
+
+@query(f"{_TRIED} SELECT CAST(row_number() OVER (ORDER BY step) AS INT) AS rank, a AS source, b AS target, rt AS relation_type, id AS doc_id FROM tried WHERE edge")
+def graph_sample_edges(spark, sf_dir):
+    return graph.edges(_sampled_graph(spark, sf_dir))
+
+
+@query(f"{_TRIED}, ends AS (SELECT a AS id, la AS label, ta AS type, 2 * step AS spot FROM tried UNION ALL SELECT b, lb, tb, 2 * step + 1 FROM tried), f AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY spot) AS nth FROM ends), p AS (SELECT id, label, type, CAST(row_number() OVER (ORDER BY spot) AS INT) AS place FROM f WHERE nth = 1) SELECT * FROM p WHERE place <= 200")
+def graph_sample_nodes(spark, sf_dir):
+    return graph.nodes(_sampled_graph(spark, sf_dir))
 
 
 # evaluation and sampling
 
-_EVAL = "WITH g AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN quality = 1 THEN 'good' WHEN toxic = 1 THEN 'bad' END AS label FROM labels), p AS (SELECT CAST(doc_id AS STRING) AS id, CASE WHEN n_chars >= 200 THEN 'good' WHEN n_chars > 60 THEN 'bad' END AS label FROM documents WHERE doc_id % 10 <> 3), both_ids AS (SELECT DISTINCT id FROM g INTERSECT SELECT DISTINCT id FROM p), x AS (SELECT coalesce(g.label, p.label) AS label, g.label AS gl, p.label AS pl, coalesce(g.id, p.id) IN (SELECT id FROM both_ids) AS hit FROM (SELECT DISTINCT * FROM g WHERE label IS NOT NULL) g FULL JOIN (SELECT DISTINCT * FROM p WHERE label IS NOT NULL) p ON g.id = p.id AND g.label = p.label), c AS (SELECT label, count(*) FILTER (hit AND gl IS NOT NULL AND pl IS NOT NULL) AS tp, count(*) FILTER (hit AND gl IS NULL) AS fp, count(*) FILTER (hit AND pl IS NULL) AS fn FROM x GROUP BY label), m AS (SELECT *, coalesce(round_even(tp / nullif(tp + fp, 0)::DOUBLE, 2), 0) AS precision, coalesce(round_even(tp / nullif(tp + fn, 0)::DOUBLE, 2), 0) AS recall, coalesce(round_even(2.0e0 * tp / nullif(2 * tp + fp + fn, 0), 2), 0) AS f1 FROM c)"
+_GOLD = """SELECT doc_id * 4 AS ord, CAST(doc_id AS STRING) AS id, CASE WHEN quality = 1 THEN 'good' WHEN toxic = 1 THEN 'bad' END AS label FROM labels
+UNION ALL SELECT doc_id * 4 + 1, CAST(doc_id AS STRING), CASE WHEN doc_id % 10 = 0 THEN 'bad' ELSE 'good' END FROM labels WHERE doc_id % 5 = 0
+UNION ALL SELECT page_id, concat('page-', CAST(page_id AS STRING)), 'page' FROM pages"""
+_GUESS = "SELECT doc_id AS ord, CAST(doc_id AS STRING) AS id, CASE WHEN n_chars >= 200 THEN 'good' WHEN n_chars > 60 THEN 'bad' END AS label FROM documents"
+_EVAL = f"""WITH g AS (SELECT id, arg_max(coalesce(label, ''), ord) AS label FROM ({_GOLD}) GROUP BY id), p AS (SELECT id, coalesce(label, '') AS label FROM ({_GUESS})),
+both_ids AS (SELECT g.id, g.label AS gl, p.label AS pl FROM g JOIN p USING (id)), names AS (SELECT DISTINCT label FROM (SELECT label FROM g UNION ALL SELECT label FROM p) WHERE label <> ''),
+c AS (SELECT n.label, count(*) FILTER (gl = n.label AND pl = n.label) AS tp, count(*) FILTER (pl = n.label AND gl <> n.label) AS fp, count(*) FILTER (gl = n.label AND pl <> n.label) AS fn FROM names n LEFT JOIN both_ids ON TRUE GROUP BY n.label),
+m AS (SELECT *, coalesce(round_even(tp / nullif(tp + fp, 0)::DOUBLE, 2), 0) AS precision, coalesce(round_even(tp / nullif(tp + fn, 0)::DOUBLE, 2), 0) AS recall, coalesce(round_even(2.0e0 * tp / nullif(2 * tp + fp + fn, 0), 2), 0) AS f1 FROM c)"""
+
+
+def _lines(spark, sf_dir, sql):
+    """Lines (ord, id, labels) over the given tables; a null label is an empty list."""
+    for name in ("labels", "pages", "documents"):
+        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
+    rows = spark.sql(sql, **{n: _read(spark, sf_dir, n) for n in ("labels", "pages", "documents") if f"{{{n}}}" in sql})
+    return rows.select("ord", "id", F.array_compact(F.array("label")).alias("labels"))
 
 
 def _gold(spark, sf_dir):
-    return _read(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("quality") == 1, "good").when(F.col("toxic") == 1, "bad").alias("label"))
+    return evaluation.last_lines(_lines(spark, sf_dir, _GOLD))
 
 
 def _predicted(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").where("doc_id % 10 <> 3").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("n_chars") >= 200, "good").when(F.col("n_chars") > 60, "bad").alias("label"))
+    return evaluation.last_lines(_lines(spark, sf_dir, _GUESS))
 
 
-@query(f"{_EVAL} SELECT label, tp, fp, fn, precision, recall, f1, tp + fn AS support FROM m")
+@query(f"{_EVAL} SELECT label, tp, fp, fn, precision, recall, f1, tp + fn AS support, tp + fp AS predicted FROM m")
 def eval_per_label(spark, sf_dir):
     return evaluation.per_label(_gold(spark, sf_dir), _predicted(spark, sf_dir))
 
@@ -405,26 +491,26 @@ def eval_overall(spark, sf_dir):
     return evaluation.overall(evaluation.per_label(_gold(spark, sf_dir), _predicted(spark, sf_dir)))
 
 
-@query("SELECT DISTINCT CAST(doc_id AS STRING) AS id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 10 <> 3)")
+@query(f"{_EVAL} SELECT id FROM g WHERE id NOT IN (SELECT id FROM p)")
 def eval_unmatched(spark, sf_dir):
     return evaluation.unmatched(_gold(spark, sf_dir), _predicted(spark, sf_dir))
 
 
 _PT = "concat(coalesce(title, ''), '\n', coalesce(content, ''))"
-_m = lambda words, each: "(" + " + ".join(f"CAST(regexp_matches(t, '{pat.any_of([w])}') AS INT)" for w in words) + f") * {each}e0"
-_n = lambda p: f"len(regexp_extract_all(t, '{p}'))"
-_w = lambda cond, x: f"CASE WHEN {cond} THEN {x}e0 ELSE 0e0 END"
-_PRE = f"{_TXT}, pt AS (SELECT *, {_PT} AS t, coalesce(source_category_hint, '') AS hint FROM uniq), pre AS (SELECT *, " + ", ".join(
-    f"round(least({e}, 1e0), 2) AS pre_{k}"
-    for k, e in {
-        "vulnerability": f"{_w(f"regexp_matches(t, '{pat.CVE}')", 0.4)} + least({_m(lex.ADVISORY, 0.1)}, 0.5e0)",
-        "exploit": f"{_m(lex.EXPLOIT, 0.15)} + {_w("regexp_matches(t, '(?i)github\\.com') AND regexp_matches(t, '(?i)exploit|poc')", 0.3)}",
-        "phishing": f"{_w("hint = 'phishing'", 0.3)} + {_m(lex.PHISHING, 0.15)}",
-        "ransomware": f"{_m(lex.RANSOM, 0.15)} + {_m(lex.FAMILIES, 0.2)}",
-        "threat_actor": f"{_w("regexp_matches(t, '(?i)APT\\d+')", 0.4)} + {_m(lex.ACTOR_WORDS, 0.1)} + {_m(lex.ACTORS, 0.2)}",
-        "ioc": f"{_w(f'{_n(pat.IPV4_WORD)} > 3', 0.4)} + {_w(f'{_n(pat.MD5)} + {_n(pat.SHA1)} + {_n(pat.SHA256)} > 2', 0.3)} + {_w(f'{_n(pat.DOMAIN_RE2)} > 3', 0.2)} + {_m(lex.IOC_WORDS, 0.1)}",
-    }.items()
-) + " FROM pt)"
+_hits = lambda each, *words: "(" + " + ".join(f"CAST(contains(low, '{w}') AS INT)" for w in words) + f") * {each}e0"
+_hash_runs = " + ".join(rf"len(regexp_extract_all(t, '\b[a-fA-F0-9]{{{n}}}\b'))" for n in (32, 40, 64))
+_octet = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
+_PRE_RULES = {
+    "vulnerability": r"CASE WHEN regexp_matches(t, '(?i)CVE-\d{4}-\d{4,}') THEN 0.4e0 ELSE 0 END + least(" + _hits(0.1, "vulnerability", "advisory", "patch", "security update", "cwe-", "affected versions", "cvss") + ", 0.5e0)",
+    "exploit": _hits(0.15, "proof of concept", "poc", "exploit code", "metasploit", "rce exploit", "shellcode", "payload", "exploit-db", "0day", "zero-day") + " + CASE WHEN contains(low, 'github.com') AND regexp_matches(low, 'exploit|poc') THEN 0.3e0 ELSE 0 END",
+    "phishing": "CASE WHEN hint = 'phishing' THEN 0.3e0 ELSE 0 END + " + _hits(0.15, "phishing", "credential harvesting", "spoofed", "lure", "phishing kit", "fake login", "social engineering", "spear-phishing"),
+    "ransomware": _hits(0.15, "ransomware", "ransom", "encrypt", "decryptor", "double extortion", "data leak", "ransom note") + " + " + _hits(0.2, "lockbit", "blackcat", "alphv", "conti", "revil", "clop", "hive", "royal", "akira", "play", "8base", "medusa", "blackbasta", "rhysida"),
+    "threat_actor": r"CASE WHEN regexp_matches(t, '(?i)APT\d+|APT-\d+|UNC\d+|FIN\d+|TA\d+') THEN 0.4e0 ELSE 0 END + "
+    + _hits(0.1, "threat actor", "threat group", "attributed to", "suspected", "nation-state", "espionage", "campaign", "intrusion set") + " + " + _hits(0.2, "lazarus", "cozy bear", "fancy bear", "equation group", "sandworm", "turla", "kimsuky", "mustang panda"),
+    "ioc": rf"CASE WHEN len(regexp_extract_all(t, '\b(?:{_octet}\.){{3}}{_octet}\b')) > 3 THEN 0.4e0 ELSE 0 END + CASE WHEN {_hash_runs} > 2 THEN 0.3e0 ELSE 0 END"
+    + r" + CASE WHEN len(regexp_extract_all(t, '\b(?:[a-zA-Z0-9](?:[a-zA-Z0-9-]*[a-zA-Z0-9])?\.)+[a-zA-Z]{2,}\b')) > 3 THEN 0.2e0 ELSE 0 END + " + _hits(0.1, "indicator", "c2", "command and control", "beacon", "callback", "ioc", "indicators of compromise"),
+}
+_PRE = f"{_TXT}, pt AS (SELECT *, {_PT} AS t, lower({_PT}) AS low, lower(coalesce(source_category_hint, '')) AS hint FROM uniq), pre AS (SELECT *, " + ", ".join(f"round(least({e}, 1e0), 2) AS pre_{k}" for k, e in _PRE_RULES.items()) + " FROM pt)"
 
 
 @query(f"{_PRE} SELECT id, {', '.join(f'pre_{c}' for c in lex.CATEGORIES)} FROM pre")
@@ -433,7 +519,7 @@ def prelabel_scores(spark, sf_dir):
 
 
 _kept = " || ".join(f"CASE WHEN pre_{c} >= 0.3 THEN [{{'k': '{c}', 'v': pre_{c}}}] ELSE [] END" for c in lex.CATEGORIES)
-_PRELABELS = f"{_PRE}, kp AS (SELECT *, {_kept} AS kept FROM pre), pl AS (SELECT ord, id, source_category_hint, array_to_string(list_transform(kept, lambda x: x.k), '|') AS labels, round(coalesce(list_sum(list_transform(kept, lambda x: x.v)), 0) / greatest(len(kept), 1), 4) AS confidence, len(kept) = 0 OR len(kept) > 3 OR coalesce(list_max(list_transform(kept, lambda x: x.v)), 0) < 0.5 AS needs_review FROM kp)"
+_PRELABELS = f"{_PRE}, kp AS (SELECT *, {_kept} AS kept FROM pre), pl AS (SELECT ord, id, source_category_hint, array_to_string(list_transform(kept, lambda x: x.k), '|') AS labels, round_even(coalesce(list_sum(list_transform(kept, lambda x: CAST(round(x.v * 100) AS BIGINT))), 0) / 100.0e0 / greatest(len(kept), 1), 2) AS confidence, len(kept) = 0 OR len(kept) > 3 OR coalesce(list_max(list_transform(kept, lambda x: x.v)), 0) < 0.5 AS needs_review FROM kp)"
 
 
 @query(f"{_PRELABELS} SELECT * FROM pl")
@@ -441,7 +527,13 @@ def prelabels(spark, sf_dir):
     return sampling.prelabels(unique_docs(spark, sf_dir))
 
 
-@query(f"{_PRELABELS}, st AS (SELECT *, coalesce(source_category_hint, 'unknown') AS stratum FROM pl), pp AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY ord) - 1 AS pos, count(*) OVER (PARTITION BY stratum) AS size, (SELECT count(DISTINCT stratum) FROM st) AS k FROM st), tk AS (SELECT *, least(greatest(60 // k, 1), size) AS take FROM pp), sp AS (SELECT *, greatest(size // take, 1) AS step FROM tk), tu AS (SELECT *, CASE WHEN pos % step = 0 AND pos // step < take THEN pos // step ELSE pos + 1000000000 END AS turn FROM sp) SELECT ord, id, source_category_hint, labels, confidence, needs_review FROM tu ORDER BY turn, stratum, pos LIMIT 60")
+_STRATA = f"""{_PRELABELS}, st AS (SELECT *, coalesce(nullif(source_category_hint, ''), 'unknown') AS stratum FROM pl),
+pp AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY ord) - 1 AS pos, count(*) OVER (PARTITION BY stratum) AS size, min(ord) OVER (PARTITION BY stratum) AS met, (SELECT count(DISTINCT stratum) FROM st) AS k FROM st),
+fs AS (SELECT * FROM pp WHERE pos % greatest(size // least(greatest(60 // k, 1), size), 1) = 0 ORDER BY met, pos LIMIT 60),
+rs AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY pos) AS turn FROM pp WHERE ord NOT IN (SELECT ord FROM fs)), every AS (SELECT *, -1 AS turn FROM fs UNION ALL SELECT * FROM rs)"""
+
+
+@query(f"{_STRATA} SELECT ord, id, source_category_hint, labels, confidence, needs_review FROM every ORDER BY turn, met, pos LIMIT 60")
 def stratified_sample(spark, sf_dir):
     return sampling.stratified(sampling.prelabels(unique_docs(spark, sf_dir)), 60)
 
@@ -573,10 +665,11 @@ def text_chunks(spark, sf_dir):
 _SEEN = "SELECT event_id, concat('h', CAST(user_id AS STRING)) AS url_hash, ts AS fetched_at FROM events"
 
 
-@query(f"WITH s AS ({_SEEN}), n AS (SELECT * FROM s WHERE event_id % 4 = 0), h AS (SELECT * FROM s WHERE event_id % 40 = 1) SELECT event_id, url_hash FROM n WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.url_hash = n.url_hash AND h.fetched_at >= n.fetched_at - INTERVAL 30 DAYS AND h.fetched_at <= n.fetched_at)")
+@query(f"WITH s AS ({_SEEN}) SELECT event_id, url_hash FROM s n WHERE NOT EXISTS (SELECT 1 FROM s h WHERE h.url_hash = n.url_hash AND h.fetched_at - INTERVAL 45 DAYS >= n.fetched_at - INTERVAL 30 DAYS AND h.fetched_at - INTERVAL 45 DAYS <= n.fetched_at)")
 def ttl_dedupe(spark, sf_dir):
+    """Every event against a history that holds all events, 45 days earlier."""
     s = _read(spark, sf_dir, "events").select("event_id", F.concat(F.lit("h"), F.col("user_id").cast("string")).alias("url_hash"), F.col("ts").alias("fetched_at"))
-    return urls.fresh_only(s.where("event_id % 4 = 0"), s.where("event_id % 40 = 1")).select("event_id", "url_hash")
+    return urls.fresh_only(s, s.withColumn("fetched_at", F.expr("fetched_at - INTERVAL 45 DAYS"))).select("event_id", "url_hash")
 
 
 def queries() -> dict[str, Query]:

@@ -1,5 +1,6 @@
 """Operators of the engine on small cases of their own: spans, sentences, HTML, URLs, sinks, streams."""
 
+import hashlib
 import json
 import re
 
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from hazeline.functions import lexicon as lex
-from hazeline.operators import alerts, corpus, entities, evaluation, graph, labeling, relations, risk, texts, urls
+from hazeline.operators import alerts, corpus, entities, evaluation, graph, labeling, relations, risk, sampling, texts, urls
 from hazeline.sources import feeds, sinks, vulnerabilities
 
 
@@ -212,11 +213,79 @@ def test_alert_rule_of_metadata(spark):
     assert [r.rule_id for r in alerts.alerts(rows).collect()] == ["cisa_kev_high_cvss"]
 
 
-def test_graph_caps(spark):
-    edges = spark.createDataFrame([(1, "malware:a", "malware:b", "x", "d"), (2, "malware:a", "malware:c", "x", "d"), (3, "malware:c", "malware:d", "x", "d")], "rank int, source string, target string, relation_type string, doc_id string")
-    nodes, kept = graph.capped(edges, most_nodes=2, most_edges=2)
-    assert [r.id for r in nodes.orderBy("place").collect()] == ["malware:a", "malware:b"] and kept.count() == 2
-    assert graph.circle(nodes).count() == 2
+def test_graph_keeps_the_rules_of_the_sample(spark):
+    docs = spark.createDataFrame([("d1", 1, 0.9), ("d2", 2, 0.9)], "id string, ord long, risk_score double")
+    ents = [("d1", 1, "malware", "Emotet", None), ("d1", 2, "malware", "emotet", None), ("d1", 3, "url", "http://x", None), ("d1", 4, "cve_id", "CVE-1", ""), ("d2", 1, "malware", "Emotet", None), ("d2", 2, "cve_id", "x", " CVE-1 ")]
+    rels = [("d1", 1, "uses", "A", "B"), ("d1", 2, "drops", "B", "A"), ("d1", 3, "uses", "B", "A"), ("d1", 4, "uses", "C", "C"), ("d1", 5, "uses", "", "D")]
+    e = spark.createDataFrame(ents, "id string, place int, type string, value string, canonical_value string")
+    r = spark.createDataFrame(rels, "id string, place int, type string, source string, target string")
+    tried = graph.attempts(docs, e, r)
+    got = [tuple(x)[1:] for x in graph.edges(tried).orderBy("rank").collect()]
+    assert got == [
+        ("mention:A", "mention:B", "uses", "d1"), ("mention:B", "mention:A", "drops", "d1"), ("malware:Emotet", "malware:emotet", "co_occurs", "d1"),
+        ("malware:Emotet", "cve_id:CVE-1", "co_occurs", "d1"), ("malware:emotet", "cve_id:CVE-1", "co_occurs", "d1"),
+    ]
+    names = [(x.id, x.type) for x in graph.nodes(tried).orderBy("place").collect()]
+    assert names == [("mention:A", "relation_endpoint"), ("mention:B", "relation_endpoint"), ("mention:C", "relation_endpoint"), ("malware:Emotet", "malware"), ("malware:emotet", "malware"), ("cve_id:CVE-1", "cve_id")]
+    few = graph.attempts(docs, e, r, most_edges=2)
+    assert graph.edges(few).count() == 2 and graph.nodes(few).count() == 2 and graph.nodes(tried, 4).count() == 4
+    assert graph.is_truncated(few, most_edges=2).first()[0] and not graph.is_truncated(tried).first()[0]
+    assert graph.circle(graph.nodes(few)).count() == 2
+
+
+def test_feed_documents_are_those_of_the_sources(spark):
+    """Ids, titles and texts written out by hand."""
+    h = lambda x: hashlib.sha256(x.encode()).hexdigest()[:8]
+    kev = [
+        (1, "CVE-2021-1", "Acme", "Box", "Acme Box flaw", "2024-01-01", "A flaw.", "Patch it", "2024-02-01", "Known", "See a"),
+        (2, "CVE-2021-2", None, "Lid", "Lid flaw", "2024-03-01", "", "", "", "Unknown", ""),
+        (3, "CVE-2021-3", "B", "C", "n", "2024-03-01", None, None, None, None, None),
+    ]
+    rows = spark.createDataFrame(kev, "ord long, cveID string, vendorProject string, product string, vulnerabilityName string, dateAdded string, shortDescription string, requiredAction string, dueDate string, knownRansomwareCampaignUse string, notes string")
+    got = feeds.kev(rows).orderBy("ord").collect()
+    assert [r.title for r in got] == ["CISA KEV: CVE-2021-2 - Unknown Lid", "CISA KEV: CVE-2021-3 - B C", "CISA KEV: CVE-2021-1 - Acme Box"]
+    assert got[2].id == "cisa_kev_CVE-2021-1_" + h("cisa_kev_CVE-2021-1") and got[2].source_category_hint == "ransomware" and got[0].source_category_hint == "vulnerability"
+    assert got[2].content == "CISA Known Exploited Vulnerability: CVE-2021-1 - Acme Box flaw. Vendor: Acme. Product: Box. A flaw. Required action: Patch it. Remediation due date: 2024-02-01. Known ransomware campaign use: Known. Notes: See a"
+    assert got[0].content == "CISA Known Exploited Vulnerability: CVE-2021-2 - Lid flaw. Vendor: Unknown. Product: Lid."
+    edb = spark.createDataFrame([(1, "7", "old", "", "", "", "2020-01-01", ""), (2, "9", " " + "x" * 130, "linux", "local", "me", "2021-01-01", "80"), (3, "10", "", "", "", "", "", "")], "ord long, id string, description string, platform string, type string, author string, date_published string, port string")
+    got = {r.ord: r for r in feeds.exploitdb(edb, 2).collect()}
+    assert set(got) == {2, 3} and got[2].id == "exploitdb_9_" + h("9" + "x" * 130 + "2021-01-01") and got[2].title == "Exploit: " + "x" * 120 + "..."
+    assert got[2].content == "x" * 130 + " Platform: linux. Type: local. Author: me. Published: 2021-01-01. Port: 80. ExploitDB URL: https://www.exploit-db.com/exploits/9"
+    assert (got[3].title, got[3].content, got[3].published_at) == ("Exploit: 10", "ExploitDB URL: https://www.exploit-db.com/exploits/10", None)
+
+
+def test_threatfox_counts_and_lists_indicators(spark):
+    payload = {"5": [{"ioc_value": "a.example", "ioc_type": "domain", "threat_type": "botnet_cc", "malware": "win.x", "malware_printable": "X Bot", "first_seen_utc": "2024-02-02", "confidence_level": 75, "tags": "b,a", "reference": "r2"}], "6": [{"ioc_value": "1.2.3.4:80", "ioc_type": "ip:port", "malware_printable": "X Bot", "first_seen_utc": "2024-01-02", "confidence_level": 50, "tags": None}], "7": [{"ioc_value": "f", "ioc_type": "sha256_hash", "malware": "win.y"}]}
+    got = feeds.threatfox(feeds.threatfox_rows(spark.createDataFrame([(json.dumps(payload),)], "payload string"))).orderBy("ord").collect()
+    assert [r.title for r in got] == ["ThreatFox IOCs: X Bot", "ThreatFox IOCs: win.y"]
+    assert got[0].content == "Threat intelligence: X Bot (botnet_cc). IOC indicators: 1 domains, 1 IPs. Malicious domains: a.example. Command and control IPs: 1.2.3.4:80. Tags: a, b. Confidence level: 62. References: r2."
+    assert got[0].id == "threatfox_x_bot_" + hashlib.sha256(b"threatfox_X Bot_2024-01-02").hexdigest()[:8] and got[1].content == "Threat intelligence: win.y (unknown). Confidence level: 0."
+
+
+def test_prelabels_by_hand(spark):
+    docs = documents(
+        spark,
+        ("A", "CVE-2021-12345 has a PoC and a payload; patchwork CVSS", None),  # .4 + .2; .3
+        (None, "LockBitter ransomware by fin7 and LAZARUS", None),  # .15 * 2 + .2; .4 + .2
+        (None, "quiet", None),
+    )
+    got = {r.id: (r.labels, r.confidence, r.needs_review) for r in sampling.prelabels(docs).collect()}
+    assert got == {"d0": ("vulnerability|exploit", 0.45, False), "d1": ("ransomware|threat_actor", 0.55, False), "d2": ("", 0.0, True)}
+
+
+def test_labels_of_cve_records(spark):
+    rows = [
+        ("a", "CVE-2024-1234", "A buffer overflow in it. CWE-79", ["Patch", "Exploit"], 9.8, "CRITICAL", 3.9),  # .3 + .16 + .1 + .1 + .1; .2 + .15 + .1
+        ("b", "t", "nothing", [], None, None, None),
+        ("c", "t", "LockBit and Hive, by APT29", None, 0.0, "LOW", 1.0),
+    ]
+    got = {r.id: r.labels for r in sampling.cve_labels(spark.createDataFrame(rows, "id string, title string, content string, ref_tags array<string>, score double, severity string, exploitability double")).collect()}
+    assert got == {"a": "vulnerability=0.76|exploit=0.45", "b": "", "c": "ransomware=0.50|threat_actor=0.40"}
+
+
+def test_the_last_gold_line_counts(spark):
+    lines = spark.createDataFrame([(1, "a", ["x"]), (2, "a", ["y"]), (1, "b", []), (3, None, ["x"])], "ord long, id string, labels array<string>")
+    assert sorted(tuple(r) for r in evaluation.last_lines(lines).collect()) == [("a", "y"), ("b", None)]
 
 
 def test_union_keeps_old_rows(spark):
