@@ -17,12 +17,13 @@ then give the runs of equal strings, and each run its smallest document.
 Null texts count as empty. Documents without id stand behind all others and are not
 smaller than each other; nor are rows of one id. Repeated rows get equal results. Texts
 shorter than the width stay. Extra columns are not read. Longer texts are cut into
-overlapping pieces that fit a slice.
+overlapping pieces that fit a slice; a table without rows gives one without rows. Texts that
+share an id, or have none, are told apart by 64 bits of hash: 10^9 of them hold a clash with
+odds of 0.03, and then the two have the bytes of either removed.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -458,17 +459,15 @@ def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length:
     return ords[seg], marks[seg], start[seg] + inside[a], start[seg] + inside[b] + width
 
 
-def _mark(doc_id: int | None, raw: bytes) -> int:
-    """What tells texts of one ord apart: rows without id may be many, so theirs is a 64-bit hash."""
-    if doc_id is not None:
-        return zlib.crc32(raw)
+def _mark(raw: bytes) -> int:
+    """What tells texts of one id, or of none, apart: a 64-bit hash."""
     mark = xxhash.xxh64_intdigest(raw, 42)
     return mark - (mark >> 63 << 64)
 
 
 def _pieces(doc_id: int | None, text: str | None, width: int) -> list[tuple]:
     raw = (text or "").encode("utf-8", "surrogatepass")
-    mark, step = _mark(doc_id, raw), SLICE - width
+    mark, step = _mark(raw), SLICE - width
     starts = range(0, len(raw) - width + 1, step) if len(raw) > SLICE else (0,)
     return [(LAST if doc_id is None else doc_id, mark, at, raw[at : at + step + width - 1] if len(raw) > SLICE else raw) for at in starts]
 
@@ -556,7 +555,7 @@ def intervals(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.crc32(text)).alias("mark"))
+    return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(int(LAST))).alias("ord"), F.xxhash64(text).alias("mark"))
 
 
 def cut_out(raw: bytes, found: list[tuple[int, int]]) -> tuple[bytes, int, int]:
