@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.operators import urls
+from hazeline.operators import sampling, urls
 from hazeline.sources import feeds, vulnerabilities
 
 _KEV = """SELECT p_partkey AS ord, CASE WHEN p_partkey % 50 = 7 THEN NULL ELSE concat('CVE-2024-', CAST(p_partkey AS STRING)) END AS cveID, CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_brand END AS vendorProject, p_type AS product, p_name AS vulnerabilityName,
@@ -128,10 +128,12 @@ def _records(spark, sf_dir):
     """CVE records as JSON text from parts: nested weaknesses, three metric versions, two reference shapes."""
     k = F.col("p_partkey")
     cwe = lambda x: F.format_string('{"value":"CWE-%d"}', x)
-    metric = F.format_string('[{"cvssData":{"baseScore":%.1f,"baseSeverity":"%s"}}]', (k % 100) / 10.0, F.when(k % 2 == 0, "HIGH").otherwise("LOW"))
+    more = F.concat(F.when(k % 2 == 0, ',"vectorString":"AV:N"').otherwise(""), F.lit("}"), F.when(k % 5 == 0, ',"exploitabilityScore":3.9').otherwise(""))
+    metric = F.format_string('[{"cvssData":{"baseScore":%.1f,"baseSeverity":"%s"%s}]', (k % 100) / 10.0, F.when(k % 2 == 0, "HIGH").otherwise("LOW"), more)
+    refs = F.when(k % 3 == 0, F.concat(F.lit('[{"url":"https://a.example/'), k.cast("string"), F.lit('","tags":["Patch","Vendor Advisory"]},{"url":"https://b.example"}]'))).otherwise("[]")
     name = F.element_at(F.array(F.lit("cvssMetricV31"), F.lit("cvssMetricV30"), F.lit("cvssMetricV2")), (k % 3 + 1).cast("int"))
     weak = F.when(k % 4 == 0, "[]").otherwise(F.concat(F.lit('[{"description":['), cwe(k % 20), F.lit(","), cwe(k % 7), F.lit("]}]")))
-    text = F.concat(F.lit('{"id":"CVE-'), k.cast("string"), F.lit('","published":"2024","descriptions":[{"lang":"fr","value":"un"},{"lang":"en","value":"one"}],"metrics":{"'), name, F.lit('":'), metric, F.lit('},"weaknesses":'), weak, F.lit("}"))
+    text = F.concat(F.lit('{"id":"CVE-'), k.cast("string"), F.lit('","published":"2024","descriptions":[{"lang":"fr","value":"un"},{"lang":"en","value":"one"}],"metrics":{"'), name, F.lit('":'), metric, F.lit('},"references":'), refs, F.lit(',"weaknesses":'), weak, F.lit("}"))
     raw = spark.read.parquet(f"{sf_dir}/part.parquet").select(text.alias("record"))
     return vulnerabilities.records(raw)
 
@@ -155,9 +157,24 @@ def cve_cvss_preference(spark, sf_dir):
 _CVSS_SQL = "SELECT concat('CVE-', CAST(p_partkey AS STRING)) AS id, (p_partkey % 100) / 10.0e0 AS score, CASE WHEN p_partkey % 2 = 0 THEN 'HIGH' ELSE 'LOW' END AS severity, 'one' AS description FROM part"
 
 
-def cve_documents(spark, sf_dir):
+def _cve_documents(spark, sf_dir):
     weaknesses = spark.range(10).select(F.col("id").cast("string").alias("cwe_id"), F.concat(F.lit("weakness "), F.col("id").cast("string")).alias("name"))
-    return vulnerabilities.documents(_records(spark, sf_dir), weaknesses).select("id", "content", "severity")
+    return vulnerabilities.documents(_records(spark, sf_dir), weaknesses)
+
+
+def cve_documents(spark, sf_dir):
+    return _cve_documents(spark, sf_dir).select("id", "title", "content", "url", "severity")
+
+
+_CVE_DOC_SQL = f"""WITH w AS (SELECT DISTINCT p_partkey AS k, unnest([p_partkey % 20, p_partkey % 7]) AS c FROM part WHERE p_partkey % 4 <> 0), d AS (SELECT k, string_agg(concat('CWE-', c, ': weakness ', c), chr(10) ORDER BY CAST(c AS STRING)) AS lines FROM w WHERE c < 10 GROUP BY k),
+p AS (SELECT p_partkey AS k, concat('CVE-', p_partkey) AS cve, CASE WHEN p_partkey % 2 = 0 THEN 'HIGH' ELSE 'LOW' END AS sev FROM part)
+SELECT concat('nvd_cve_', cve, '_', {_sha8("cve")}) AS id, concat(cve, ' (', sev, ') - one') AS title, concat('https://nvd.nist.gov/vuln/detail/', cve) AS url, sev AS severity,
+concat_ws(chr(10), concat('CVE Identifier: ', cve), '', 'one', '', concat('CVSS Score: ', CAST((p.k % 100) / 10.0e0 AS STRING), ' (', sev, ')', CASE WHEN p.k % 2 = 0 THEN ' Vector: AV:N' ELSE '' END), CASE WHEN p.k % 5 = 0 THEN 'Exploitability Score: 3.9' END, '',
+  CASE WHEN p.k % 4 <> 0 THEN concat('Weakness: CWE-', p.k % 20, ', CWE-', p.k % 7) END, d.lines, '', CASE WHEN p.k % 3 = 0 THEN concat_ws(chr(10), 'References:', concat('  - https://a.example/', p.k, ' [Patch, Vendor Advisory]'), '  - https://b.example', '') END) AS content FROM p LEFT JOIN d USING (k)"""
+
+
+def cve_labels(spark, sf_dir):
+    return sampling.cve_labels(_cve_documents(spark, sf_dir))
 
 
 def _refs(spark, sf_dir):
@@ -198,12 +215,12 @@ def storage_keys(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable]:
-    found = (feed_kev, feed_exploitdb, feed_phishtank, feed_otx, feed_ransomwatch, feed_threatfox, feed_mitre, cve_cwe_join, cve_cvss_preference, cve_documents, cve_references, cve_reference_stats, reference_outcomes, storage_keys)
+    found = (feed_kev, feed_exploitdb, feed_phishtank, feed_otx, feed_ransomwatch, feed_threatfox, feed_mitre, cve_cwe_join, cve_cvss_preference, cve_documents, cve_labels, cve_references, cve_reference_stats, reference_outcomes, storage_keys)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "feed_kev": _KEV_SQL, "feed_exploitdb": _EDB_SQL, "feed_phishtank": _PHISH_SQL, "feed_otx": _OTX_SQL, "feed_ransomwatch": _POSTS_SQL, "feed_threatfox": _IOCS_SQL, "feed_mitre": _MITRE_SQL,
-        "cve_cwe_join": _CWE_SQL, "cve_cvss_preference": _CVSS_SQL, "cve_references": _REFS_SQL, "cve_reference_stats": _STATS_SQL, "reference_outcomes": _OUT_SQL,
+        "cve_cwe_join": _CWE_SQL, "cve_documents": _CVE_DOC_SQL, "cve_cvss_preference": _CVSS_SQL, "cve_references": _REFS_SQL, "cve_reference_stats": _STATS_SQL, "reference_outcomes": _OUT_SQL,
     }

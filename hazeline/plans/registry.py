@@ -672,9 +672,12 @@ def ttl_dedupe(spark, sf_dir):
     return urls.fresh_only(s, s.withColumn("fetched_at", F.expr("fetched_at - INTERVAL 45 DAYS"))).select("event_id", "url_hash")
 
 
+_KEYS_SQL = f"""{_NORMAL} SELECT page_id, concat('refs/2024-05-01/raw/CVE-', page_id, '/00', page_id % 7, '_', sha256(normalized)[1:8], CASE WHEN page_id % 2 = 0 THEN '.html' ELSE '.bin' END) AS key FROM norm"""
+
+
 def queries() -> dict[str, Query]:
     return _QUERIES | feeds_sql.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return _SQL | feeds_sql.oracle_sql()
+    return _SQL | feeds_sql.oracle_sql() | {"storage_keys": _KEYS_SQL}

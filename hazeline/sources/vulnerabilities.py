@@ -10,8 +10,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 RECORD = (
     "id string, published string, lastModified string, descriptions array<struct<lang:string,value:string>>, "
-    "metrics struct<cvssMetricV31:array<{m}>,cvssMetricV30:array<{m}>,cvssMetricV2:array<{m}>>, weaknesses array<struct<description:array<struct<value:string>>>>, refs string"
-).replace("{m}", "struct<cvssData:struct<baseScore:double,baseSeverity:string,vectorString:string>,exploitabilityScore:double,impactScore:double>")
+    "metrics struct<cvssMetricV31:array<{m}>,cvssMetricV30:array<{m}>,cvssMetricV2:array<{m}>>, weaknesses array<struct<description:array<struct<value:string>>>>, references array<struct<url:string,source:string,tags:array<string>>>, refs string"
+).replace("{m}", "struct<cvssData:struct<baseScore:double,baseSeverity:string,vectorString:string>,baseSeverity:string,exploitabilityScore:double,impactScore:double>")
 
 
 class _Page(InputPartition):
@@ -95,13 +95,40 @@ def last_write(rows: DataFrame) -> DataFrame:
 
 
 def documents(cves: DataFrame, weaknesses: DataFrame) -> DataFrame:
-    """CVE records as documents."""
-    details = with_weaknesses(cves, weaknesses)
-    m = best_metric()
-    rows = cves.join(details, cves["id"] == details["cve_id"], "left").withColumns({"score": m["cvssData"]["baseScore"], "severity": m["cvssData"]["baseSeverity"]})
-    names = F.nullif(F.array_join(F.transform(F.map_entries("details"), lambda e: F.concat(F.lit("CWE-"), e["key"], F.lit(" "), e["value"])), "; "), F.lit(""))
-    content = F.concat_ws("\n", description(), F.when(F.col("score").isNotNull(), F.concat(F.lit("CVSS: "), F.col("score").cast("string"), F.lit(" severity: "), F.coalesce("severity", F.lit("unknown")))), F.concat(F.lit("Weaknesses: "), names))
-    return rows.select("id", F.col("id").alias("title"), content.alias("content"), F.concat(F.lit("https://nvd.nist.gov/vuln/detail/"), F.col("id")).alias("url"), F.lit("nvd_ref").alias("source"), F.lit("vulnerability").alias("source_category_hint"), F.col("published").alias("published_at"), "score", "severity")
+    """CVE records as documents (S20), with ref_tags and the metric's score, severity and exploitability beside them."""
+    details = with_weaknesses(cves, weaknesses).select("cve_id", "details")
+    m, words = best_metric(), "array<string>"
+    rows = cves.join(details, cves["id"] == details["cve_id"], "left")
+    rows = rows.withColumns({"metric": m, "score": m["cvssData"]["baseScore"], "severity": F.coalesce(m["cvssData"]["baseSeverity"], m["baseSeverity"]), "said": F.coalesce(description(), F.lit(""))})
+    rows = rows.withColumn("exploitability", F.col("metric.exploitabilityScore"))
+    blank = F.lit("")
+    some = lambda condition, *lines: F.when(condition, F.array(*lines)).otherwise(F.array().cast(words))
+    listed = lambda x, label: F.when(F.col(x) != "", F.concat(F.lit(label[0]), F.col(x), F.lit(label[1]))).otherwise("")
+    named = F.filter(F.flatten(F.transform("weaknesses", lambda w: F.transform(w["description"], lambda d: d["value"]))), lambda v: F.startswith(v, F.lit("CWE-")))
+    refs = F.transform("references", lambda r: F.concat(F.lit("  - "), F.coalesce(r["url"], blank), F.when(F.size(r["tags"]) > 0, F.concat(F.lit(" ["), F.array_join(r["tags"], ", "), F.lit("]"))).otherwise("")))
+    rows = rows.withColumn("vector", F.col("metric.cvssData.vectorString"))
+    score = F.concat(F.lit("CVSS Score: "), F.coalesce(F.col("score").cast("string"), F.lit("None")), F.coalesce(listed("severity", (" (", ")")), blank), F.coalesce(listed("vector", (" Vector: ", "")), blank))
+    exploitable = F.coalesce(F.col("exploitability") != 0, F.lit(False))
+    has = F.col("metric").isNotNull()
+    lines = F.concat(
+        F.array(F.concat(F.lit("CVE Identifier: "), F.col("id")), blank),
+        some(F.col("said") != "", F.col("said"), blank),
+        some(has, score),
+        some(has & exploitable, F.concat(F.lit("Exploitability Score: "), F.col("exploitability").cast("string"))),
+        some(has, blank),
+        some(F.size(named) > 0, F.concat(F.lit("Weakness: "), F.array_join(named, ", "))),
+        F.coalesce(F.transform(F.map_entries("details"), lambda e: F.concat(F.lit("CWE-"), e["key"], F.lit(": "), e["value"])), F.array().cast(words)),
+        F.array(blank),
+        F.when(F.size(refs) > 0, F.concat(F.array(F.lit("References:")), refs, F.array(blank))).otherwise(F.array().cast(words)),
+    )
+    short = F.split_part(F.substring("said", 1, 100), F.lit("."), F.lit(1))
+    title = F.concat_ws(" ", F.col("id"), F.when(F.col("severity") != "", F.concat(F.lit("("), F.col("severity"), F.lit(")"))), F.when(F.col("said") != "", F.concat(F.lit("- "), short)))
+    tags = F.array_sort(F.array_distinct(F.flatten(F.transform("references", lambda r: F.coalesce(r["tags"], F.array().cast(words))))))
+    return rows.select(
+        F.concat(F.lit("nvd_cve_"), F.col("id"), F.lit("_"), F.substring(F.sha2(F.col("id"), 256), 1, 8)).alias("id"), title.alias("title"), F.array_join(lines, "\n").alias("content"),
+        F.concat(F.lit("https://nvd.nist.gov/vuln/detail/"), F.col("id")).alias("url"), F.lit("nvd_ref").alias("source"), F.lit("vulnerability").alias("source_category_hint"),
+        F.col("published").alias("published_at"), F.col("lastModified").alias("collected_at"), F.coalesce(tags, F.array().cast(words)).alias("ref_tags"), "score", "severity", "exploitability",
+    )
 
 
 def severity_histogram(docs: DataFrame) -> DataFrame:
