@@ -29,7 +29,7 @@ PRELABEL_TERMS = {
     "ioc": [(lex.terms("beacon|c2|callback|command and control|indicator|indicators of compromise|ioc"), 0.1, None)],
 }
 ACTOR_NUMBER = r"(?i)(?:apt-?|unc|fin|ta)[0-9]+"
-ANY_DOMAIN = r"\b(?:[a-zA-Z0-9](?:[a-zA-Z0-9-]*[a-zA-Z0-9])?\.)+[a-zA-Z]{2,}\b"
+ANY_DOMAIN = r"\b(?:[0-9A-Za-z](?:[-0-9A-Za-z]*[0-9A-Za-z])?\.)+[A-Za-z]{2,}\b"
 
 
 def _score(label: str, low: Column) -> Column:

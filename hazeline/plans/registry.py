@@ -497,18 +497,18 @@ def eval_unmatched(spark, sf_dir):
 
 
 _PT = "concat(coalesce(title, ''), '\n', coalesce(content, ''))"
-_hits = lambda each, *words: "(" + " + ".join(f"CAST(contains(low, '{w}') AS INT)" for w in words) + f") * {each}e0"
+_hits = lambda each, packed: "(" + " + ".join(f"CAST(contains(low, '{w}') AS INT)" for w in packed.split("|")) + f") * {each}e0"
 _hash_runs = " + ".join(rf"len(regexp_extract_all(t, '\b[a-fA-F0-9]{{{n}}}\b'))" for n in (32, 40, 64))
-_octet = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
+_octet = "(?:2(?:[0-4][0-9]|5[0-5])|[01]?[0-9]{1,2})"
 _PRE_RULES = {
-    "vulnerability": r"CASE WHEN regexp_matches(t, '(?i)CVE-\d{4}-\d{4,}') THEN 0.4e0 ELSE 0 END + least(" + _hits(0.1, "vulnerability", "advisory", "patch", "security update", "cwe-", "affected versions", "cvss") + ", 0.5e0)",
-    "exploit": _hits(0.15, "proof of concept", "poc", "exploit code", "metasploit", "rce exploit", "shellcode", "payload", "exploit-db", "0day", "zero-day") + " + CASE WHEN contains(low, 'github.com') AND regexp_matches(low, 'exploit|poc') THEN 0.3e0 ELSE 0 END",
-    "phishing": "CASE WHEN hint = 'phishing' THEN 0.3e0 ELSE 0 END + " + _hits(0.15, "phishing", "credential harvesting", "spoofed", "lure", "phishing kit", "fake login", "social engineering", "spear-phishing"),
-    "ransomware": _hits(0.15, "ransomware", "ransom", "encrypt", "decryptor", "double extortion", "data leak", "ransom note") + " + " + _hits(0.2, "lockbit", "blackcat", "alphv", "conti", "revil", "clop", "hive", "royal", "akira", "play", "8base", "medusa", "blackbasta", "rhysida"),
+    "vulnerability": r"CASE WHEN regexp_matches(t, '(?i)CVE-\d{4}-\d{4,}') THEN 0.4e0 ELSE 0 END + least(" + _hits(0.1, "advisory|affected versions|cvss|cwe-|patch|security update|vulnerability") + ", 0.5e0)",
+    "exploit": _hits(0.15, "0day|exploit code|exploit-db|metasploit|payload|poc|proof of concept|rce exploit|shellcode|zero-day") + " + CASE WHEN contains(low, 'github.com') AND regexp_matches(low, 'exploit|poc') THEN 0.3e0 ELSE 0 END",
+    "phishing": "CASE WHEN hint = 'phishing' THEN 0.3e0 ELSE 0 END + " + _hits(0.15, "credential harvesting|fake login|lure|phishing|phishing kit|social engineering|spear-phishing|spoofed"),
+    "ransomware": _hits(0.15, "data leak|decryptor|double extortion|encrypt|ransom|ransom note|ransomware") + " + " + _hits(0.2, "8base|akira|alphv|blackbasta|blackcat|clop|conti|hive|lockbit|medusa|play|revil|rhysida|royal"),
     "threat_actor": r"CASE WHEN regexp_matches(t, '(?i)APT\d+|APT-\d+|UNC\d+|FIN\d+|TA\d+') THEN 0.4e0 ELSE 0 END + "
-    + _hits(0.1, "threat actor", "threat group", "attributed to", "suspected", "nation-state", "espionage", "campaign", "intrusion set") + " + " + _hits(0.2, "lazarus", "cozy bear", "fancy bear", "equation group", "sandworm", "turla", "kimsuky", "mustang panda"),
+    + _hits(0.1, "attributed to|campaign|espionage|intrusion set|nation-state|suspected|threat actor|threat group") + " + " + _hits(0.2, "cozy bear|equation group|fancy bear|kimsuky|lazarus|mustang panda|sandworm|turla"),
     "ioc": rf"CASE WHEN len(regexp_extract_all(t, '\b(?:{_octet}\.){{3}}{_octet}\b')) > 3 THEN 0.4e0 ELSE 0 END + CASE WHEN {_hash_runs} > 2 THEN 0.3e0 ELSE 0 END"
-    + r" + CASE WHEN len(regexp_extract_all(t, '\b(?:[a-zA-Z0-9](?:[a-zA-Z0-9-]*[a-zA-Z0-9])?\.)+[a-zA-Z]{2,}\b')) > 3 THEN 0.2e0 ELSE 0 END + " + _hits(0.1, "indicator", "c2", "command and control", "beacon", "callback", "ioc", "indicators of compromise"),
+    + r" + CASE WHEN len(regexp_extract_all(t, '\b(?:[0-9A-Za-z](?:[-0-9A-Za-z]*[0-9A-Za-z])?\.)+[A-Za-z]{2,}\b')) > 3 THEN 0.2e0 ELSE 0 END + " + _hits(0.1, "beacon|c2|callback|command and control|indicator|indicators of compromise|ioc"),
 }
 _PRE = f"{_TXT}, pt AS (SELECT *, {_PT} AS t, lower({_PT}) AS low, lower(coalesce(source_category_hint, '')) AS hint FROM uniq), pre AS (SELECT *, " + ", ".join(f"round(least({e}, 1e0), 2) AS pre_{k}" for k, e in _PRE_RULES.items()) + " FROM pt)"
 
