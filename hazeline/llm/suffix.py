@@ -2,17 +2,19 @@
 
 A byte goes if a string of ``width`` bytes that covers it also starts in a document of
 smaller id. Every string of that width holds a minimiser: its leftmost 16-gram of least
-hash. Strings that are equal have equal minimisers at equal places, so stretches of
-successive strings with one minimiser can be settled by themselves. First only hashes of
-minimisers travel, and tell which stretches have a minimiser that another document has
-too. Only those are sent on, to the shard of their minimiser, where all equal strings
-meet. Before each step a slice of the input settles what it can: of equal texts, and of
+hash. Its key is the minimiser with the 17 bytes on its left, or if it begins too early
+those on its right. Strings that are equal have equal keys at equal places, so stretches of
+successive strings with one key can be settled by themselves. First only hashes of
+keys travel, and tell which stretches have a key that another document has
+too (16 bytes alone recur by chance, in ever more texts as a table grows). Only those are
+sent on, to the shard of their key, where all equal strings meet. Before each step a slice of the input settles what it can: of equal texts, and of
 equal stretches, only that of the smallest id goes out; the others are covered already.
 
 A shard keeps each distinct stretch once and builds suffix arrays over them: suffixes are classified, the leftmost smaller ones are
 sorted by induction and named, equal names are told apart by prefix doubling, and the array is
 induced from them in linear time, bucket by bucket in numpy. Permuted common prefixes
-then give the runs of equal strings, and each run its smallest document.
+then give the runs of equal strings, and each run its smallest document. Stretches of one
+key that do not fit an array are sorted string by string, those of one place at a time.
 
 Null texts count as empty. Documents without id stand behind all others and are not
 smaller than each other; nor are rows of one id. Repeated rows get equal results. Texts
@@ -199,8 +201,26 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return h ^ h >> np.uint64(32)
 
 
+def side_of(width: int) -> int:
+    """Bytes of a key beside the minimiser: a window of ``width`` has so many on its left or on its right."""
+    return (width - GRAM) // 2
+
+
+def key_hashes(gram_hash, at: np.ndarray, side: int) -> np.ndarray:
+    """A 64-bit hash of the GRAM + ``side`` bytes at every place in ``at``; ``gram_hash`` gives that of the 16 at places."""
+    mixed = gram_hash(at)
+    for i in (*range(GRAM, side, GRAM), side):
+        mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x94D049BB133111EB) + gram_hash(at + i)
+    mixed = (mixed ^ mixed >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ mixed >> np.uint64(32)
+
+
 def stretches(raw: np.ndarray, valid: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and last window of every stretch of valid windows with one minimiser, its place and hash."""
+    """First and last window of every stretch of valid windows with one key, its place and hash.
+
+    Windows of one minimiser are split where it passes their middle: before, the key is the
+    minimiser with the bytes on its left, then with those on its right.
+    """
     n = len(raw) - width + 1
     if n <= 0 or not valid[:n].any():
         none = np.empty(0, dtype=np.int64)
@@ -215,13 +235,15 @@ def stretches(raw: np.ndarray, valid: np.ndarray, width: int = WIDTH) -> tuple[n
     if have < span:
         best = np.minimum(best[: len(best) - (span - have)], best[span - have :])
     place = (best[:n] & low).astype(np.int64)
+    side = side_of(width)
+    place -= np.where(place - np.arange(n) >= side, side, 0)
     ok = valid[:n]
     fresh = ok.copy()
     fresh[1:] &= (place[1:] != place[:-1]) | ~ok[:-1]
     first = np.flatnonzero(fresh)
     ends = ok.copy()
     ends[:-1] &= (place[1:] != place[:-1]) | ~ok[1:]
-    return first, np.flatnonzero(ends), place[first], h[place[first]]
+    return first, np.flatnonzero(ends), place[first], key_hashes(h.__getitem__, place[first], side)
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -389,19 +411,41 @@ def _smallest(contents: list[bytes], owners: np.ndarray, width: int) -> np.ndarr
     return by_place[at]
 
 
+def _smallest_by_place(contents: list[bytes], owners: np.ndarray, place: np.ndarray, width: int) -> np.ndarray:
+    """As ``_smallest``, for contents of one key at ``place``, too many for one suffix array.
+
+    Equal windows have the key at equal places, so those of each place are sorted by themselves:
+    a window a content at a time.
+    """
+    raw = np.frombuffer(b"".join(contents), dtype=np.uint8)
+    n = np.array([len(c) for c in contents]) - width + 1
+    begins, at = np.cumsum(n + width - 1) - (n + width - 1), np.cumsum(n) - n
+    out = np.empty(int(n.sum()), dtype=np.int64)
+    for before in range(int(place.max()) + 1):
+        own = np.flatnonzero((place >= before) & (place - before < n))
+        if len(own):
+            first = place[own] - before
+            window = raw[(begins[own] + first)[:, None] + np.arange(width)].view(f"V{width}").ravel()
+            order = np.argsort(window, kind="stable")
+            runs = np.flatnonzero(np.concatenate(([True], window[order][1:] != window[order][:-1])))
+            least = np.minimum.reduceat(owners[own][order], runs)
+            out[at[own[order]] + first[order]] = np.repeat(least, np.diff(np.append(runs, len(order))))
+    return out
+
+
 def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length: np.ndarray, place: np.ndarray, body: bytes, width: int = WIDTH, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ord, mark, start, end of the intervals that stretches of smaller ids cover."""
     ends = np.cumsum(length)
     begins = ends - length
     raw = np.frombuffer(body, dtype=np.uint8)
-    grams = np.empty((len(begins), 2), dtype=np.uint64)
+    keys = np.empty(len(begins), dtype=np.uint64)
     for i in range(0, len(begins), 1 << 16):
-        at = (begins[i : i + (1 << 16)] + place[i : i + (1 << 16)])[:, None] + np.arange(GRAM)
-        grams[i : i + (1 << 16)] = raw[at].view(np.uint64)
-    order = np.lexsort((grams[:, 1], grams[:, 0]))
-    g = grams[order]
+        at = begins[i : i + (1 << 16)] + place[i : i + (1 << 16)]
+        keys[i : i + (1 << 16)] = key_hashes(lambda x: gram_hashes(raw[x[:, None] + np.arange(GRAM)].ravel())[::GRAM], at, side_of(width))
+    order = np.argsort(keys, kind="stable")
+    g = keys[order]
     fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = (g[1:] != g[:-1]).any(axis=1)
+    fresh[1:] = g[1:] != g[:-1]
     heads = np.flatnonzero(fresh)
     low, high = np.minimum.reduceat(ords[order], heads), np.maximum.reduceat(ords[order], heads)
     group = np.cumsum(fresh) - 1
@@ -410,14 +454,14 @@ def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length:
     if not len(order):
         none = np.empty(0, dtype=np.int64)
         return none, none, none, none
-    # distinct contents, in the order of their groups; equal contents have equal groups
+    # distinct contents, in the order of their groups; equal contents have equal groups and places
     known: dict[bytes, int] = {}
     content = np.array([known.setdefault(body[a:b], len(known)) for a, b in zip(begins[order].tolist(), ends[order].tolist())])
     contents = list(known)
     owner = np.full(len(contents), LAST)
     np.minimum.at(owner, content, ords[order])
-    of_group = np.empty(len(contents), dtype=np.int64)
-    of_group[content] = group
+    of_group, of_place = np.empty(len(contents), dtype=np.int64), np.empty(len(contents), dtype=np.int64)
+    of_group[content], of_place[content] = group, place[order]
     sizes = np.array([len(c) for c in contents])
     windows = sizes - width + 1
     offsets = np.concatenate(([0], np.cumsum(windows)))
@@ -431,7 +475,8 @@ def settle_shard(ords: np.ndarray, marks: np.ndarray, start: np.ndarray, length:
         if pending:
             idx = np.array(pending)
             where = np.repeat(offsets[idx] - (np.cumsum(windows[idx]) - windows[idx]), windows[idx]) + np.arange(int(windows[idx].sum()))
-            least[where] = _smallest([contents[i] for i in pending], owner[idx], width)
+            own = [contents[i] for i in pending]
+            least[where] = _smallest(own, owner[idx], width) if held <= batch else _smallest_by_place(own, owner[idx], of_place[idx], width)
 
     for k in by_group.tolist():
         if per_group[k] > 1:

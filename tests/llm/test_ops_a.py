@@ -240,6 +240,35 @@ def test_suffix_texts_without_id_and_of_one_crc_stay_apart(spark):
     assert sorted(got) == sorted((10**18 if r[0] is None else r[0], *r[1:]) for r in want)
 
 
+def test_suffix_texts_of_short_common_strings_are_not_sent():
+    """Strings of 16 bytes recur by chance in large tables; a text goes out only for 33 common bytes or more."""
+    rng = np.random.default_rng(0)
+
+    def asked(common):
+        filler = lambda: rng.integers(97, 123, 40).astype(np.uint8).tobytes()
+        texts = [b"".join(filler() + c for c in common) + filler() for _ in range(2)]
+        rows = [r for i, t in enumerate(texts) for r in suffix.ask_slice(suffix.Slice([(i, i, 0, t)], 50), 1)]
+        return sum(map(len, suffix.shared_numbers({k: [r[k] for r in rows] for k in rows[0]})[2]))
+
+    common = [rng.integers(97, 123, 80).astype(np.uint8).tobytes() for _ in range(50)]
+    assert asked([c[:24] for c in common]) == 0
+    assert asked(common) > 0
+
+
+def test_suffix_of_a_key_too_common_for_one_array(monkeypatch):
+    rng = np.random.default_rng(1)
+    passage = rng.integers(97, 123, 60).astype(np.uint8).tobytes()
+    texts = [bytes(rng.choice([97, 98], i % 4).astype(np.uint8)) + passage + bytes(rng.choice([97, 98], i % 3).astype(np.uint8)) for i in range(200)]
+    part = suffix.Slice([(i, i, 0, t) for i, t in enumerate(texts)], 50)
+    shard = suffix.send_slice(part, [np.unique(part.numbers())] * len(part.pieces), 1)[1][0]
+    cols = [*suffix._owners({k: [v] for k, v in shard.items()}, 0), *(suffix._unpacked(shard[c], k).astype(np.int64) for c, k in (("start", np.int64), ("length", np.int16), ("place", np.uint8)))]
+    body = suffix.zstandard.ZstdDecompressor().decompress(shard["body"])
+    whole = sorted(zip(*(x.tolist() for x in suffix.settle_shard(*cols, body))))
+    monkeypatch.setattr(suffix, "_smallest", None)
+    assert sorted(zip(*(x.tolist() for x in suffix.settle_shard(*cols, body, batch=100)))) == whole
+    assert whole
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_suffix_array_sorts(seed):
     rng = np.random.default_rng(seed)
