@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -324,3 +325,29 @@ def test_mtree_leaves_out_work_on_clusters():
         assert found == [(int(scores[i]), int(i)) for i in best]
         total += computed
     assert total < 0.5 * len(x) * len(range(0, len(x), 97))
+
+
+@pytest.mark.parametrize("spread", [3, 900, 2**30])
+def test_mtree_answers_many_queries_at_once(spread):
+    rng = np.random.default_rng(spread)
+    x = np.concatenate([rng.integers(-spread, spread, (300, 6)), np.zeros((70, 6), dtype=np.int64)])
+    tree = mtree.MTree(x, float(np.sqrt((x.astype(float) ** 2).sum(axis=1).max())) * (1 + 1e-12))
+    ids, copies = rng.permutation(len(x)), rng.integers(1, 3, len(x))
+    asked = np.append(np.arange(0, len(x), 7), -1)
+    q = np.concatenate([x[asked[:-1]], rng.integers(-spread, spread, (1, 6))])
+    n, score, row, _ = tree.search_all(q, 10, asked, ids, copies)
+    scores = q.astype(object) @ x.T.astype(object)
+    for i, me in enumerate(asked):
+        rows = [r for r in range(len(x)) if r != me or copies[r] > 1]
+        want = sorted(rows, key=lambda r: (-scores[i, r], ids[r]))[:10]
+        assert list(zip(score[n == i].tolist(), row[n == i].tolist())) == [(scores[i, r], r) for r in want]
+
+
+def test_topk_of_a_block_takes_matrix_products(spark):
+    x = np.random.default_rng(2).integers(-300, 300, (20_000, 64))
+    tree = mtree.MTree(x, float(np.sqrt((x.astype(float) ** 2).sum(axis=1).max())) * (1 + 1e-12))
+    began = time.thread_time()
+    assert len(tree.search_all(x[:1000], 10, np.arange(1000), np.arange(len(x)), np.ones(len(x), dtype=np.int64))[0]) == 10_000
+    assert time.thread_time() - began < 8
+    odd = spark.createDataFrame([(100, []), (1, []), (200, [1.0]), (2, [2.0])], "vec_id long, embedding array<float>")
+    assert cases.sorted_rows(mtree.top_k(odd), ["query_id", "rank", "vec_id", "score"]) == [(100, 1, 1, 0), (200, 1, 2, 1024 * 2048)]
