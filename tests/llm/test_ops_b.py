@@ -99,6 +99,30 @@ def test_suffix_tree_is_a_distribution():
         assert np.exp(tree.log_prob(every)).sum() == pytest.approx(1)
 
 
+def test_suffix_tree_has_every_context(spark, monkeypatch):
+    """A tree of all contexts, also of those that are rare in a large table, whatever the bounds of the parts it is made in."""
+    monkeypatch.setattr(suffixtree, "BUCKET", 100)
+    monkeypatch.setattr(suffixtree, "CHUNK", 300)
+    rng = np.random.default_rng(8)
+    common = " ".join("".join(rng.choice(list("abcdef"), 4)) for _ in range(50))
+    texts = [common] * 400 + ["xyzzyq xyzzyq xyzzyq é", "", None]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    counts = suffixtree.counted(docs)
+    grams, n = (x.astype(np.uint64) for x in np.array(counts.where("kind = 1").select("key", "n").collect()).T)
+    n = n.astype(np.int64)
+
+    def summed(codes):
+        own, at = np.unique(codes, return_inverse=True)
+        return own, np.bincount(at, weights=n).astype(np.int64)
+
+    pairs = [summed(grams & np.uint64((1 << 8 * (k + 1)) - 1)) for k in range(suffixtree.DEPTH + 1)]
+    totals = [summed(grams >> np.uint64(8) & np.uint64((1 << 8 * k) - 1)) for k in range(suffixtree.DEPTH + 1)]
+    want, got = suffixtree.Tree(pairs, totals, divergence=6.0), suffixtree.learn(counts, divergence=6.0).open()
+    assert [len(c[0]) for c in got.contexts] == [len(c[0]) for c in want.contexts]
+    every = np.concatenate([grams, grams ^ np.uint64(3), grams ^ np.uint64(3 << 40)])
+    assert got.log_prob(every) == pytest.approx(want.log_prob(every), rel=1e-9)
+
+
 def brute_secrets(text):
     text = text or ""
     out = []
