@@ -4,11 +4,12 @@ Two questions are asked of every document: is it of good quality, and is it toxi
 heuristics vote on each, or abstain; where a labels table covers a document, its label is
 one more voter. All documents' votes are counted by pattern (a few thousand at most), and
 expectation-maximisation over the patterns estimates each voter's accuracy. The posterior
-labels of a bounded sample train one sparse logistic scorer a question, over hashed
+labels of all labelled documents (of all, without labels) train one sparse logistic scorer a question, over hashed
 features: buckets of text statistics, words and word beginnings. All features that occur in
-three documents of the sample take part: training works on a set of them, then a distributed pass sums the gradient of
+three of these documents take part: training works on a set of them, then a distributed pass sums the gradient of
 every other one, and those at which a zero weight is not optimal join the set, until there
-are none. The scorers decide on every document: it is kept if quality is at least and
+are none. The optimum of a sample is only where training begins; each later step is a
+distributed pass over all. The scorers decide on every document: it is kept if quality is at least and
 toxicity below one half.
 
 Null texts count as empty: no votes, statistics of zero. Repeated rows are voted on and
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 from .common import session_limits, slices, table, written
 
 FEATURES = 1 << 18
-SAMPLE = 20_000  #: expected labelled documents that the scorers are trained on
-SPARSITY = 5e-4  #: the L1 penalty on a full sample; on a smaller one it is larger, by the root of the ratio
+SAMPLE = 20_000  #: expected labelled documents at whose optimum training on all of them begins
+SPARSITY = 5e-4  #: the L1 penalty on as many documents or more; on fewer it is larger, by the root of the ratio
+SPREAD = 4_000  #: labelled documents of a partition, about
+MARKS = 1 << 23  #: bits that tell workers which documents may be labelled
 WORKING = 2_000  #: features that join the working set at a time
 LEAST_SEEN = 3  #: documents of the sample that a feature must occur in to have a weight
 SLACK = 0.05  #: relative excess of a gradient over the penalty that counts as optimal
@@ -104,10 +107,16 @@ def word_features(w: bytes) -> list[int]:
     return [xxhash.xxh32_intdigest(b"w:" + w) % FEATURES, *(xxhash.xxh32_intdigest(b"p:" + w[:k]) % FEATURES for k in STEM if len(w) >= k)]
 
 
-def document_features(text: str, s: tuple[float, ...]) -> list[int]:
-    found = set(bucket_features(s))
+def document_features(text: str, s: tuple[float, ...], known: dict[bytes, list[int]] | None = None) -> list[int]:
+    """All features of a document; ``known`` remembers those of words."""
+    found, known = set(bucket_features(s)), {} if known is None else known
     for w in set(text.encode("utf-8", "surrogatepass").lower().split()):
-        found.update(word_features(w))
+        own = known.get(w)
+        if own is None:
+            if len(known) >= REMEMBERED // 10:
+                known.clear()
+            own = known[w] = word_features(w)
+        found.update(own)
     return sorted(found)
 
 
@@ -181,6 +190,7 @@ def train(rows: list[np.ndarray], target: np.ndarray, n: int, sparsity: float =
     return w, bias
 
 
+SUMS = 2.0**48  #: as POINT, for sums that may be larger
 POINT = 2.0**50  #: gradients are summed as whole multiples of its inverse, in which order has no influence
 
 
@@ -212,18 +222,77 @@ def gradients(sample: DataFrame, weights: np.ndarray, biases: np.ndarray, sizes:
     return parts.groupBy("f").agg(*[(F.sum(c) / POINT).alias(c) for c in ("q", "t")], F.sum("n").alias("n")).where(F.col("n") >= LEAST_SEEN)
 
 
-def fit(sample: DataFrame, sparsity: float = SPARSITY, working: int = WORKING) -> tuple[np.ndarray, np.ndarray]:
+def sums_over(rows: DataFrame, names: np.ndarray, weights: np.ndarray, biases: np.ndarray, sizes: list[tuple[float, float]], bounds: bool = False) -> np.ndarray:
+    """Gradients (2, names + 1) of both questions' loss by the weights of ``names`` and, last, by the bias; or with ``bounds`` those of the curvature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.zeros(FEATURES, dtype=np.int64)
+        place[names] = np.arange(len(names))
+        total = np.zeros((2, len(names) + 1))
+        for batch in batches:
+            column = batch.column("features")
+            flat, n = place[column.flatten().to_numpy()], pc.list_value_length(column).to_numpy()
+            some, starts = n > 0, np.cumsum(n) - n
+            for i, name in enumerate(("p_q_all", "p_t_all")):
+                target = batch.column(name).to_numpy()
+                off = class_weights(target, *sizes[i])
+                if bounds:
+                    off = off * (n + 1)
+                else:
+                    z = np.full(len(n), biases[i])
+                    if len(flat):
+                        z[some] += np.add.reduceat(weights[i][flat], starts[some])
+                    off = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) * off
+                total[i, :-1] += np.bincount(flat, weights=np.repeat(off, n), minlength=len(names))
+                total[i, -1] += off.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([np.rint(total * SUMS).astype(np.int64).tobytes()], pa.binary())], names=["part"])
+
+    out = np.zeros((2, len(names) + 1), dtype=np.int64)
+    for r in rows.mapInArrow(run, "part binary").collect():
+        out += np.frombuffer(r.part, dtype=np.int64).reshape(out.shape)
+    return out / SUMS
+
+
+def train_over(rows: DataFrame, names: np.ndarray, sets: list[np.ndarray], sparsity: float, start: tuple[np.ndarray, np.ndarray], sizes: list[tuple[float, float]], steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
+    """As ``train`` for both questions, by a pass over ``rows`` a step; weights outside a question's set stay zero."""
+    w, bias = start[0][:, names], start[1].copy()
+    free = np.stack([np.isin(names, own) for own in sets])
+    bound = sums_over(rows, names, w, bias, sizes, bounds=True)
+    rate, rate_bias = 4.0 / np.maximum(1e-6, bound[:, :-1]), 4.0 / bound[:, -1]
+    y, y_bias, t, live = w.copy(), bias.copy(), np.ones(2), np.ones(2, dtype=bool)
+    for _ in range(steps):
+        grads = sums_over(rows, names, y, y_bias, sizes)
+        for i in np.flatnonzero(live):
+            new = y[i] - rate[i] * grads[i, :-1]
+            new = np.where(free[i], np.sign(new) * np.maximum(np.abs(new) - rate[i] * sparsity, 0), 0.0)
+            new_bias = y_bias[i] - rate_bias[i] * grads[i, -1]
+            if ((new - w[i]) * (y[i] - new)).sum() + (new_bias - bias[i]) * (y_bias[i] - new_bias) > 0:
+                t[i] = 1.0
+            t_new = (1 + (1 + 4 * t[i] * t[i]) ** 0.5) / 2
+            moved = max(float(np.abs(new - w[i]).max(initial=0.0)), abs(new_bias - bias[i]))
+            y[i], y_bias[i] = new + (t[i] - 1) / t_new * (new - w[i]), new_bias + (t[i] - 1) / t_new * (new_bias - bias[i])
+            w[i], bias[i], t[i] = new, new_bias, t_new
+            if moved < STILL:
+                live[i], y[i], y_bias[i] = False, w[i], bias[i]
+        if not live.any():
+            break
+    return w, bias
+
+
+def fit(sample: DataFrame, sparsity: float = SPARSITY, working: int = WORKING, start: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights (2, FEATURES) and biases of both scorers over all features of ``sample`` (features, p_q_all, p_t_all).
 
     A working set grows until no feature outside it has a gradient beyond the penalty: the
-    optimum over the set is then that over all features.
+    optimum over the set is then that over all features. With ``start``, weights and biases
+    to begin from, no rows come to the driver.
     """
-    weights, biases = np.zeros((2, FEATURES)), np.zeros(2)
+    weights, biases = (np.zeros((2, FEATURES)), np.zeros(2)) if start is None else (start[0].copy(), start[1].copy())
     counts = sample.agg(F.count("*"), F.count_if(F.col("p_q_all") > 0.5), F.count_if(F.col("p_t_all") > 0.5)).first()
     if not counts[0]:
         return weights, biases
     sizes = [(counts[i], counts[0] - counts[i]) for i in (1, 2)]
-    sets = [np.empty(0, dtype=np.int64)] * 2
+    sets = [np.flatnonzero(w) for w in weights]
+    fresh = start is not None
     while True:
         grown = []
         slopes = gradients(sample, weights, biases, sizes)
@@ -233,9 +302,13 @@ def fit(sample: DataFrame, sparsity: float = SPARSITY, working: int = WORKING) -
             best = own["f"].to_numpy()[np.lexsort((own["f"], -own[c].abs()))[:working]].astype(np.int64)
             grown.append(len(best) > 0)
             sets[i] = np.union1d(sets[i], best)
-        if not any(grown):
+        if not any(grown) and not fresh:
             return weights, biases
-        names = np.union1d(*sets)
+        fresh, names = False, np.union1d(*sets)
+        if start is not None:
+            rows = written(_only(sample, names), "working")
+            weights[:, names], biases = train_over(rows, names, sets, sparsity, (weights, biases), sizes)
+            continue
         own = _only(sample, names).toArrow()
         lists = [x.values.to_numpy() for x in own.column("features").combine_chunks()]
         for i, column in enumerate(("p_q_all", "p_t_all")):
@@ -292,13 +365,13 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def voted(docs: DataFrame, share: float) -> DataFrame:
-    """doc_id, votes of both questions as codes, and features of the sampled documents."""
+def voted(docs: DataFrame, marks: np.ndarray | None) -> DataFrame:
+    """doc_id, votes of both questions as codes, and features of the documents whose id may be marked, of all without ``marks``."""
     session_limits(docs.sparkSession)
-    most = int(share * 2**32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 16 << 20):
+        known: dict[bytes, list[int]] = {}
+        for batch in slices(batches, "text", 6 << 20):
             q, t, features = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 text = text or ""
@@ -306,13 +379,29 @@ def voted(docs: DataFrame, share: float) -> DataFrame:
                 s = statistics(text, low)
                 q.append(encode_votes(quality_votes(s)))
                 t.append(encode_votes(toxic_votes(set(low))))
-                taken = doc_id is not None and xxhash.xxh32_intdigest(str(doc_id)) < most
-                features.append(document_features(text, s) if taken else None)
+                taken = doc_id is not None and (marks is None or marks[(at := _mark(doc_id)) >> 3] >> (at & 7) & 1)
+                features.append(document_features(text, s, known) if taken else None)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(q, pa.int32()), pa.array(t, pa.int32()), pa.array(features, pa.list_(pa.int32()))], names=["doc_id", "q", "t", "features"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, q int, t int, features array<int>")
 
 
+def _mark(doc_id: int) -> int:
+    return xxhash.xxh32_intdigest(str(doc_id)) % MARKS
+
+
+def marks_of(gold: DataFrame) -> np.ndarray:
+    """A bit for every mark of an id of ``gold``: ids without it are not there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_mark(i) for i in batch.column("doc_id").to_pylist()], pa.int32())], names=["mark"])
+
+    bits = np.zeros(MARKS, dtype=bool)
+    bits[gold.select("doc_id").mapInArrow(run, "mark int").distinct().toArrow().column("mark").to_numpy()] = True
+    return np.packbits(bits, bitorder="little")
+
+
 N_QUALITY, N_TOXIC = 7, 3
 
 
@@ -323,10 +412,9 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
         labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     gold = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     n_gold = gold.count()
-    n_rows = n_gold or docs.count()
-    votes = voted(docs, min(1.0, SAMPLE / max(1, n_rows)))
+    votes = voted(docs, marks_of(gold) if n_gold else None)
     as_vote = lambda c: F.coalesce(F.when(F.col(c) == 1, 2).when(F.col(c) == 0, 0), F.lit(1))
-    rows = votes.join(gold, "doc_id", "left").select("q", "t", "features", (as_vote("quality") * 3**N_QUALITY + F.col("q")).alias("q_all"), (as_vote("toxic") * 3**N_TOXIC + F.col("t")).alias("t_all"), F.col("quality").isNotNull().alias("labelled"))
+    rows = votes.join(gold, "doc_id", "left").select("q", "t", "features", (as_vote("quality") * 3**N_QUALITY + F.col("q")).alias("q_all"), (as_vote("toxic") * 3**N_TOXIC + F.col("t")).alias("t_all"), F.col("quality").isNotNull().alias("labelled"), F.xxhash64("doc_id").alias("spot"))
     rows = written(rows, "votes")
     posterior, accuracy = {}, {}
     for name, column, n in (("quality", "q_all", N_QUALITY + 1), ("toxic", "t_all", N_TOXIC + 1)):
@@ -341,9 +429,13 @@ def learn(docs: DataFrame, labels: DataFrame | None) -> tuple[Scorer, dict[str,
     for column in ("q_all", "t_all"):
         known = spark.createDataFrame([(int(c), float(p)) for c, p in posterior[column].items()], f"{column} int, p_{column} double")
         sample = sample.join(known, column)  # as many rows as vote patterns
-    spread = sample.select("features", "p_q_all", "p_t_all").repartition(spark.sparkContext.defaultParallelism, F.xxhash64("features"))
-    sample = written(spread, "sample")
-    weights, biases = fit(sample, SPARSITY * max(1.0, SAMPLE / max(1, sample.count())) ** 0.5)
+    parts = max(spark.sparkContext.defaultParallelism, -(-sample.count() // SPREAD))
+    whole = written(sample.select("features", "p_q_all", "p_t_all", "spot").repartition(parts, F.xxhash64("features")), "sample")
+    n, columns = whole.count(), ["features", "p_q_all", "p_t_all"]
+    sparsity = SPARSITY * max(1.0, SAMPLE / max(1, n)) ** 0.5
+    weights, biases = fit(whole.where(F.pmod("spot", F.lit(1 << 20)) < max(1, int(SAMPLE / max(1, n) * 2**20))).select(columns), sparsity)
+    if n > SAMPLE:
+        weights, biases = fit(whole.select(columns), sparsity, start=(weights, biases))
     return Scorer(weights, biases), accuracy
 
 

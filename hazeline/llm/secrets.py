@@ -1,18 +1,20 @@
 """Secret scans: base rules, and probabilistic automata inferred from what they find.
 
-The base rules label credentials. From a bounded sample of their values, one automaton
+The base rules label credentials. From all their distinct values, one automaton
 a kind is inferred by state merging: a prefix tree with counts, whose states are merged
-while their outgoing and stopping frequencies are compatible by Hoeffding's bound. Every
+while their outgoing and stopping frequencies are compatible by Hoeffding's bound. Prefixes
+are counted by a shuffle; one that a single value has is compatible with any state by that
+bound, and leads back to the first. All values are then counted, and rated, on the automaton. Every
 candidate (a long run of credential characters outside the base spans) is scored by
 the likelihood of its format against a letter model of ordinary long words; what is as
 likely as the labelled values themselves becomes a further span.
 
 Null texts count as empty. Repeated rows, null ids and extra columns have no influence
-on a row's spans, but for the sample, which takes distinct values; ties of its order by hash
-go by the value. Without any labelled value, as in an empty table, there are no automata and
+on a row's spans, as the values that count are distinct. Without any labelled value, as in an empty table, there are no automata and
 no further spans. Texts and values of any length are read in full; a candidate has 16
 characters or more, as shorter runs are mostly words. Offsets are code points. Values are in
-no table that is written: the sample comes to the driver, the rest is found again from the texts.
+no table that is written: they are kept by the executors while they are counted. What comes to
+the driver are hashes and counts of the prefixes that two values share, and the characters behind.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import session_limits, slices, table
@@ -34,9 +38,6 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run either way
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 KINDS = ("assign", "access", "hex", "format")
-SAMPLE = 400  #: distinct labelled values of a kind that an automaton is inferred from
-ORDINARY = 2000  #: other runs for the letter model
-LONGEST = 128  #: characters of a value in either sample
 ALPHA, SMOOTH, MARGIN = 0.05, 0.01, 0.35
 
 
@@ -66,6 +67,9 @@ def candidates(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[i
     return out
 
 
+ROOT, NOWHERE = 0, -1
+
+
 class Automaton:
     """A probabilistic automaton by state merging of a prefix tree."""
 
@@ -86,12 +90,49 @@ class Automaton:
                 s = self.go[s][c][1]
                 self.visits[s] += 1
             self.stops[s] += 1
+        if values:
+            self._inferred(alpha)
+            per = [self.rate(v) for v in values]
+            self.rated(len(per), sum(per), sum(x * x for x in per))
+
+    def _inferred(self, alpha: float) -> None:
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge()
         self.symbols = len({c for s in self.go for c in s}) or 1
-        per = [self.rate(v) for v in values]
-        mean = sum(per) / len(per)
-        self.floor = mean - MARGIN - 2 * math.sqrt(sum((x - mean) ** 2 for x in per) / len(per))
+
+    @classmethod
+    def of_prefixes(cls, rows: list[tuple[int, int, str, int, int]], n: int, empty: int = 0, alpha: float = ALPHA) -> Automaton:
+        """From node, parent, last character, count and stops of prefixes; those of one value may only be leaves. n: values."""
+        a = cls([])
+        number = {ROOT: 0}
+        for node, _, _, visits, stops in rows:
+            if visits > 1:
+                number[node] = len(a.go)
+                a.go.append({})
+                a.visits.append(visits)
+                a.stops.append(stops)
+        a.visits[0], a.stops[0] = n, empty
+        for node, parent, c, visits, _ in rows:
+            a.go[number[parent]][c] = [visits, number.get(node, NOWHERE)]
+        a._inferred(alpha)
+        return a
+
+    def recounted(self, rows: list[tuple[int, str, int]]) -> None:
+        """Take the counts state, character, n of all values; an empty character stands for a stop."""
+        self.go = [{c: [0, t] for c, (_, t) in edges.items()} for edges in self.go]
+        self.visits, self.stops = [0] * len(self.go), [0] * len(self.go)
+        for s, c, n in rows:
+            self.visits[s] += n
+            if c:
+                self.go[s].setdefault(c, [0, s])[0] += n
+            else:
+                self.stops[s] += n
+        self.symbols = len({c for s in self.go for c in s}) or 1
+
+    def rated(self, n: int, total: float, squares: float) -> None:
+        """Set the floor from the number of all values, and the sums of their rates and of the squares."""
+        mean = total / n
+        self.floor = mean - MARGIN - 2 * math.sqrt(max(0.0, squares / n - mean * mean))
 
     def _differ(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return n1 > 0 and n2 > 0 and abs(f1 / n1 - f2 / n2) > self.bound * (n1**-0.5 + n2**-0.5)
@@ -106,7 +147,7 @@ class Automaton:
                 p, q = self.go[x].get(c), self.go[y].get(c)
                 if self._differ(p[0] if p else 0, self.visits[x], q[0] if q else 0, self.visits[y]):
                     return False
-                if p and q:
+                if p and q and NOWHERE not in (p[1], q[1]):
                     todo.append((p[1], q[1]))
         return True
 
@@ -120,18 +161,21 @@ class Automaton:
             for c, (n, t) in self.go[y].items():
                 if c in self.go[x]:
                     self.go[x][c][0] += n
-                    todo.append((self.go[x][c][1], t))
+                    if self.go[x][c][1] == NOWHERE:
+                        self.go[x][c][1] = t
+                    elif t != NOWHERE:
+                        todo.append((self.go[x][c][1], t))
                 else:
                     self.go[x][c] = [n, t]
 
     def _merge(self) -> None:
         red = [0]
         while True:
-            known = set(red)
-            blue = sorted({(-self.go[r][c][0], r, c) for r in red for c in self.go[r] if self.go[r][c][1] not in known})
-            if not blue:
+            known = {*red, NOWHERE}
+            blue = min(((-self.go[r][c][0], r, c) for r in red for c in self.go[r] if self.go[r][c][1] not in known), default=None)
+            if blue is None:
                 break
-            _, r, c = blue[0]
+            _, r, c = blue
             b = self.go[r][c][1]
             for a in red:
                 if self._compatible(a, b):
@@ -140,7 +184,7 @@ class Automaton:
                     break
             else:
                 red.append(b)
-        number = {s: i for i, s in enumerate(red)}
+        number = {s: i for i, s in enumerate(red)} | {NOWHERE: 0}
         self.go = [{c: [n, number[t]] for c, (n, t) in self.go[s].items()} for s in red]
         self.visits, self.stops = [self.visits[s] for s in red], [self.stops[s] for s in red]
 
@@ -161,9 +205,9 @@ class Letters:
     def __init__(self, values: list[str]):
         self.pairs, self.firsts = Counter(), Counter()
         for v in values:
-            for a, b in zip("^" + v, v):
-                self.pairs[a, b] += 1
-                self.firsts[a] += 1
+            self.pairs.update(zip("^" + v, v))
+        for (a, _), n in self.pairs.items():
+            self.firsts[a] += n
 
     def rate(self, value: str) -> float:
         total = sum(math.log((self.pairs[a, b] + 0.1) / (self.firsts[a] + 0.1 * 66)) for a, b in zip("^" + value, value))
@@ -177,6 +221,16 @@ class Formats:
         self.kinds = [Automaton(sorted(v)) for k, v in sorted(labelled.items()) if v]
         self.letters = Letters(ordinary)
 
+    @classmethod
+    def of(cls, kinds: list[Automaton], pairs: list[tuple[str, str, int]]) -> Formats:
+        """Of automata and the counts of the pairs of characters in ordinary runs."""
+        formats = cls({}, [])
+        formats.kinds = kinds
+        for a, b, n in pairs:
+            formats.letters.pairs[a, b] += n
+            formats.letters.firsts[a] += n
+        return formats
+
     def likely(self, value: str) -> bool:
         """As likely a character as the labelled values of some kind, and more than in a word."""
         word = self.letters.rate(value)
@@ -186,11 +240,12 @@ class Formats:
         return [(s, 3, e) for s, e, v in found if self.likely(v)]
 
 
+UNIT = 10**7  #: rates are summed as whole multiples of its inverse, in which order has no influence
 OTHER = 3  #: kind of the runs that are no labelled value
 
 
 def values(docs: DataFrame) -> DataFrame:
-    """kind, value: the distinct values, within a task, of the base rules and the other runs; none above ``LONGEST`` characters."""
+    """kind, value: the distinct values, within a task, of the base rules and the other runs."""
     session_limits(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,21 +255,79 @@ def values(docs: DataFrame) -> DataFrame:
                 own = base_spans(text or "")
                 found.update((k, v) for _, k, _, v in own)
                 found.update((OTHER, v) for _, _, v in candidates(text or "", own))
-            rows = [x for x in found if len(x[1]) <= LONGEST]
+            rows = list(found)
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.string())], names=["kind", "value"])
 
     return docs.select("text").mapInArrow(run, "kind int, value string")
 
 
+def _counts(values: DataFrame, names: str, of) -> DataFrame:
+    """Columns ``names`` (kind and keys) and n: how often ``of`` gives them for the values (kind, value) of a batch, as a Counter."""
+    schema = f"{names}, n long"
+    kinds = [{"int": pa.int32(), "long": pa.int64(), "string": pa.string()}[x.split()[1]] for x in schema.split(", ")]
+    labels = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "value", 1 << 20):
+            found = Counter()
+            for kind, value in zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist()):
+                of(found, kind, value)
+            cols = list(zip(*((*key, n) for key, n in found.items()))) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, kinds)], names=labels)
+
+    return values.mapInArrow(run, schema).groupBy(*labels[:-1]).agg(F.sum("n").alias("n"))
+
+
+def _prefixes(found: Counter, kind: int, value: str) -> None:
+    """Node (a hash), its parent, the character between, and if the value stops there."""
+    h, parent = xxhash.xxh64(), ROOT
+    for i, c in enumerate(value, 1):
+        h.update(c)
+        node = h.intdigest() >> 1
+        found[kind, node, parent, c, int(i == len(value))] += 1
+        parent = node
+
+
 def infer(docs: DataFrame) -> Formats:
-    """Automata from at most ``SAMPLE`` values a kind and ``ORDINARY`` other runs, taken by hash."""
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value")
-    first = values(docs).distinct().withColumn("nth", F.row_number().over(order))
-    rows = first.where((F.col("nth") <= SAMPLE) | (F.col("kind") == OTHER) & (F.col("nth") <= ORDINARY)).where(F.col("nth") <= max(SAMPLE, ORDINARY))
-    taken: dict[int, list[str]] = {k: [] for k in range(4)}
-    for r in rows.orderBy("kind", "nth").collect():
-        taken[r.kind].append(r.value)
-    return Formats({k: taken[k] for k in range(OTHER)}, taken[OTHER])
+    """The automata and the letter model of all distinct values."""
+    every = values(docs).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        labelled, other = every.where(F.col("kind") != OTHER), every.where(F.col("kind") == OTHER)
+        number = {k: n for k, n in labelled.groupBy("kind").count().collect()}
+        edges = _counts(labelled, "kind int, node long, parent long, c string, stop int", _prefixes)
+        nodes = edges.groupBy("kind", "node", "parent", "c").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("stop")).alias("stops"))
+        shared = nodes.where("n > 1").select("kind", F.col("node").alias("parent"))
+        top = docs.sparkSession.createDataFrame([(k, ROOT) for k in range(OTHER)], "kind int, parent long")
+        tree = nodes.join(shared.unionByName(top), ["kind", "parent"], "left_semi").orderBy("kind", "node").toArrow().to_pylist()
+        automata = {k: Automaton.of_prefixes([(r["node"], r["parent"], r["c"], r["n"], r["stops"]) for r in tree if r["kind"] == k], number[k]) for k in sorted(number)}
+
+        def walked(found: Counter, kind: int, value: str) -> None:
+            s = 0
+            for c in value:
+                found[kind, s, c] += 1
+                edge = automata[kind].go[s].get(c)
+                s = edge[1] if edge else s
+            found[kind, s, ""] += 1
+
+        steps = _counts(labelled, "kind int, state int, c string", walked).orderBy("kind", "state", "c").collect()
+        for k, a in automata.items():
+            a.recounted([(r.state, r.c, r.n) for r in steps if r.kind == k])
+
+        def rates(found: Counter, kind: int, value: str) -> None:
+            x = automata[kind].rate(value)
+            found[kind, 0] += round(x * UNIT)
+            found[kind, 1] += round(x * x * UNIT)
+
+        sums = {(r.kind, r.power): r.n / UNIT for r in _counts(labelled, "kind int, power int", rates).collect()}
+        for k, a in automata.items():
+            a.rated(number[k], sums[k, 0], sums[k, 1])
+
+        def pairs(found: Counter, kind: int, value: str) -> None:
+            found.update(zip("^" + value, value))
+
+        return Formats.of(list(automata.values()), [(r.a, r.b, r.n) for r in _counts(other, "a string, b string", pairs).collect()])
+    finally:
+        every.unpersist()
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
