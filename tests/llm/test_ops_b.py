@@ -5,11 +5,13 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import cases
 import corpus_pipeline
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from hazeline.llm import jpeg, packing, quality, secrets, simhash, suffixtree
@@ -372,6 +374,43 @@ def test_quality_scorer_learns_from_all_labels(spark, monkeypatch):
     assert seen[-1] == 200 and seen[0] < 100
 
 
+def test_quality_deletes_its_tables(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"word{(i * k) % 997}" for k in range(1, 200))) for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 3 // 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    made, write = {}, quality.written
+
+    def written(df, name, *a):
+        out = write(df, name, *a)
+        made[out._hazeline_path.removeprefix("file:")] = name
+        return out
+
+    monkeypatch.setattr(quality, "SAMPLE", 60)
+    monkeypatch.setattr(quality, "written", written)
+    quality.learn(docs, labels)
+    assert set(made.values()) == {"votes", "sample", "working"} and not any(Path(p).exists() for p in made)
+
+
+def test_quality_features_are_those_of_single_words(monkeypatch):
+    def features(text):
+        found = set(quality.bucket_features(quality.statistics(text)))
+        for w in text.encode("utf-8", "surrogatepass").lower().split():
+            if w := w.strip(quality.PUNCTUATION):
+                found.update(xxhash.xxh32_intdigest(x) % quality.FEATURES for x in (b"w:" + w, *(b"p:" + w[:k] for k in quality.STEM if len(w) >= k)))
+        return sorted(found)
+
+    texts = ["", "a", "...", "ab -aBc- 'abcd' \x1c x\x85y  é  -- a--b abcdefghijklm abcdefghijklmn ABCDEFGHIJKLMNOP", "\ud800 x", "日本語 テキスト", "x" * 99, "\t\n\x0b\x0c\r", *(r[1] or "" for r in cases.rows())]
+    want = [features(t) for t in texts]
+    for piece in (1, 100, 1 << 20):
+        monkeypatch.setattr(quality, "PIECE", piece)
+        keys = quality.feature_keys(texts, [quality.statistics(t) for t in texts])
+        assert keys.tolist() == [i * quality.FEATURES + f for i, own in enumerate(want) for f in own]
+    assert quality.packed(keys, len(texts)).nbytes < 3 * len(keys)
+    flat, n = quality.unpacked(quality.packed(keys, len(texts)).slice(2, 5))
+    assert n.tolist() == [len(x) for x in want[2:7]] and flat.tolist() == sum(want[2:7], [])
+    flat, n = quality.unpacked(quality.packed(np.array([5, 2 * quality.FEATURES + 200_000]), 4))
+    assert flat.tolist() == [5, 200_000] and n.tolist() == [1, 0, 1, 0]
+
+
 def test_quality_of_awkward_tables(spark, sf):
     docs = cases.given(spark, sf)
     for labels in (None, spark.createDataFrame([(0, 1, 0), (0, 0, None), (None, 1, 1)], "doc_id long, quality int, toxic int")):
