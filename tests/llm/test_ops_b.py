@@ -390,6 +390,22 @@ def test_quality_deletes_its_tables(spark, monkeypatch):
     assert set(made.values()) == {"votes", "sample", "working"} and not any(Path(p).exists() for p in made)
 
 
+def test_quality_training_takes_few_jobs(spark):
+    """Every job stays in the driver's memory for a while: hundreds of passes left no room for later stages of the pipeline."""
+    rng = np.random.default_rng(3)
+    n, names = 600, np.sort(rng.choice(quality.FEATURES, 40, replace=False))
+    y = rng.random(n) < 0.5
+    rows = [sorted({int(f) for k, f in enumerate(names) if rng.random() < (0.5 if k < 8 and y[i] else 0.1)}) for i in range(n)]
+    p = np.where(y, 0.9, 0.1)
+    table = spark.createDataFrame([(r, float(a), float(1 - a)) for r, a in zip(rows, p)], "features array<int>, p_q_all double, p_t_all double").repartition(3)
+    start = quality.fit(table.limit(30), 1e-2)
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    before = jobs()
+    quality.fit(table, 2e-3, start=start)
+    made = jobs() - before
+    assert made < 40, made
+
+
 def test_quality_features_are_those_of_single_words(monkeypatch):
     def features(text):
         found = set(quality.bucket_features(quality.statistics(text)))
