@@ -124,15 +124,15 @@ OSINT = {
         ("hint", 0.15),
     ],
     "threat_actor": [
-        ("like", r"(?U)\b(?:apt|unc|fin|ta)\d+\b", 0.4),
+        ("like", r"(?U)(?=(?:apt|unc|fin|ta)\d)\b(?:apt|unc|fin|ta)\d+\b", 0.4),
         ("words", lex.terms("threat actor|threat group|attributed to|nation-state|espionage|campaign|intrusion set|state-sponsored|apt"), 0.1, 0.5),
         ("words", lex.terms("lazarus|cozy bear|fancy bear|sandworm|turla|kimsuky|mustang panda|charming kitten|hafnium|nobelium|wizard spider|darkside|fin7|fin11|carbanak|ocean lotus|winnti"), 0.2, 0.6),
         ("source", "mitre_attack", 0.3),
         ("hint", 0.15),
     ],
     "ioc": [
-        ("many", [r"(?U)\b(?:\d{1,3}\.){3}\d{1,3}\b"], 3, 0.4),
-        ("many", [rf"(?U)\b[a-f0-9]{{{n}}}\b" for n in (32, 40, 64)], 2, 0.3),
+        ("many", [r"(?U)(?=\d{1,3}\.)\b(?:\d{1,3}\.){3}\d{1,3}\b"], 3, 0.4),
+        ("many", [rf"(?U)(?=[a-f0-9]{{{n}}})\b[a-f0-9]{{{n}}}\b" for n in (32, 40, 64)], 2, 0.3),
         ("words", lex.terms("indicator of compromise|ioc|c2|command and control|beacon|callback|indicator|infrastructure"), 0.1, 0.5),
         ("source", "otx", 0.3),
         ("hint", 0.15),
@@ -159,7 +159,7 @@ CVE_LABELS = {
     "phishing": [("words", PRELABEL_TERMS["phishing"][0][0], 0.2, 0.9)],
     "ransomware": [("words", lex.terms("ransomware|ransom|encrypt|decryptor|double extortion|data leak|ransom note|file encryption"), 0.15, 0.9), ("words", PRELABEL_TERMS["ransomware"][1][0], 0.25, 99.0)],
     "threat_actor": [
-        ("like", r"(?U)\b(?:apt|unc|fin|ta)\d+\b", 0.4),
+        ("like", r"(?U)(?=(?:apt|unc|fin|ta)\d)\b(?:apt|unc|fin|ta)\d+\b", 0.4),
         ("words", lex.terms("threat actor|threat group|attributed to|nation-state|espionage|campaign|intrusion set|state-sponsored"), 0.12, 0.5),
         ("words", lex.terms("lazarus|cozy bear|fancy bear|sandworm|turla|kimsuky|mustang panda|charming kitten|hafnium|nobelium"), 0.25, 99.0),
     ],
@@ -167,13 +167,19 @@ CVE_LABELS = {
 }
 
 
+def _lowered(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """``docs`` with title and content in lower case, and the content alone: columns, so that no signal makes them anew."""
+    docs = docs.withColumn("_content", F.lower(F.coalesce("content", F.lit(""))))
+    docs = docs.withColumn("_all", F.concat_ws(" ", F.lower(F.coalesce("title", F.lit(""))), "_content"))
+    return docs, F.col("_all"), F.col("_content")
+
+
 def cve_labels(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """id, labels (name=confidence, in the order of CVE_LABELS) of documents of CVE records (P10).
 
     docs: id, title, content, ref_tags (array), and of the CVSS metric score, severity and exploitability.
     """
-    content = F.lower(F.coalesce("content", F.lit("")))
-    t = F.concat_ws(" ", F.lower(F.coalesce("title", F.lit(""))), content)
+    docs, t, content = _lowered(docs)
     tags = F.transform(F.coalesce("ref_tags", F.array().cast("array<string>")), lambda x: F.lower(x))
     has = lambda w: F.contains(t, F.lit(w))
     known = {
@@ -204,8 +210,7 @@ def substring_labels(docs: DataFrame, least: float = 0.3) -> DataFrame:
     Labels of equal confidence stand in the order of OSINT; without any, the hint stands in
     at 0.2, and 'unknown' at 0 where there is none.
     """
-    content = F.lower(F.coalesce("content", F.lit("")))
-    t = F.concat_ws(" ", F.lower(F.coalesce("title", F.lit(""))), content)
+    docs, t, content = _lowered(docs)
     hint = F.coalesce(F.col("source_category_hint"), F.lit(""))
     source = F.coalesce(F.col("source"), F.lit(""))
 
@@ -214,7 +219,9 @@ def substring_labels(docs: DataFrame, least: float = 0.3) -> DataFrame:
             return _if(source == x[0] if kind == "source" else hint == label, x[-1])
         return _signal(t, content, kind, *x)
 
-    scores = [F.struct(F.least(sum((signal(label, *s) for s in signals), F.lit(0.0)), F.lit(1.0)).alias("v"), F.lit(-i).alias("turn"), F.lit(label).alias("k")) for i, (label, signals) in enumerate(OSINT.items())]
+    # columns of their own: inside the arrays below, which ask for them twice, they would be computed twice
+    docs = docs.withColumns({f"_{label}": F.least(sum((signal(label, *s) for s in signals), F.lit(0.0)), F.lit(1.0)) for label, signals in OSINT.items()})
+    scores = [F.struct(F.col(f"_{label}").alias("v"), F.lit(-i).alias("turn"), F.lit(label).alias("k")) for i, label in enumerate(OSINT)]
     kept = F.filter(F.array(*scores), lambda p: p["v"] >= least)
     none = F.struct(F.when(hint == "", 0.0).otherwise(0.2).alias("v"), F.lit(0).alias("turn"), F.when(hint == "", "unknown").otherwise(hint).alias("k"))
     best = F.sort_array(F.when(F.size(kept) == 0, F.array(none)).otherwise(kept), asc=False)
