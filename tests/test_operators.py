@@ -383,3 +383,43 @@ def test_substring_labels_have_all_signals(spark):
     docs = spark.createDataFrame([(i, str(i), "", *c[:3]) for i, c in enumerate(cases)], "ord int, id string, title string, content string, source string, source_category_hint string")
     got = [(r.primary_label, r.labels, r.confidence) for r in sampling.substring_labels(docs).orderBy("ord").collect()]
     assert got == [c[3:] for c in cases]
+
+
+def _odd_texts(n=400):
+    import random
+
+    rng = random.Random(3)
+    bits = [*labeling.WHOLE[::4], "Ransom Note", "ransomware", "ransom", "malicious ip", "malicious  url", "APT29", "C2", "encrypted", "éransom", "ransomé", "İlure", "_poc", "v 1.2.3.4", "1.2.3.4", "://a.com", "a@b.com", "CVSS: 9.8", "score 7.5", "8.1/10", "a" * 32, "https://x.io/" + "b" * 40, "CVE-2024-12345", "critical", "severity", "zero-day"]
+    return ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "\n", "."]) for _ in range(rng.randrange(12))) for _ in range(n)]
+
+
+def test_labels_found_in_one_pass_are_those_of_their_patterns(spark):
+    from hazeline.functions import gates
+    from hazeline.functions import patterns as pat
+
+    words = labeling.WHOLE
+    df = spark.createDataFrame([(t,) for t in _odd_texts()], "t string").withColumn("found", gates.whole(F.col("t"), words))
+    each = {f"w{i}": (gates.stands(F.col("found"), w, words), F.col("t").rlike(pat.any_of([w]))) for i, w in enumerate(words)}
+    each["any"] = gates.any_stands(F.col("found"), lex.FAMILIES, words), F.col("t").rlike(pat.any_of(lex.FAMILIES))
+    (r,) = df.agg(*[F.count_if(a != b).alias(k) for k, (a, b) in each.items()], F.count_if(each["any"][0]).alias("some")).collect()
+    assert not any(r[k] for k in each) and r["some"] > 0
+
+
+def test_risk_patterns_run_only_where_their_gates_open(spark):
+    """Of the patterns of a quiet text none but those without a gate is looked for."""
+    rows = risk.assess(entities.summarised(labeling.confidences(documents(spark, ("x", "quiet", None)))))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.findall(r"(?<!AND )RLIKE\([a-z_]+#\d+, [^)]*(?:CVE-|poc|in the wild|critical)", plan)
+
+
+def test_rows_are_told_apart_before_their_texts_are_made(spark, sf):
+    from hazeline.plans.corpus import docs, unique_docs
+
+    plan = unique_docs(spark, sf).select("id", "content")._jdf.queryExecution().executedPlan().toString()
+    assert "LockBit" not in plan[plan.index("Exchange") :]
+    assert sorted(unique_docs(spark, sf).collect(), key=lambda r: r.ord) == sorted(corpus.keep_first(docs(spark, sf)).collect(), key=lambda r: r.ord)
+
+
+def test_substring_labels_look_for_each_word_once(spark):
+    plan = sampling.substring_labels(documents(spark, (None, "x", None)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(", privilege escalation)") == 1 and plan.count("lower(") <= 3
