@@ -423,3 +423,43 @@ def test_rows_are_told_apart_before_their_texts_are_made(spark, sf):
 def test_substring_labels_look_for_each_word_once(spark):
     plan = sampling.substring_labels(documents(spark, (None, "x", None)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(", privilege escalation)") == 1 and plan.count("lower(") <= 3
+
+
+def test_rollups_pages_and_shares_go_through_the_corpus_once(spark, sf):
+    from hazeline.plans import registry
+
+    for name in ("entity_rollup", "entity_page", "tier_shares"):
+        plan = registry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1, name
+
+
+def test_pages_of_a_rollup_are_clamped(spark):
+    rolled = spark.createDataFrame([("cve_id", f"CVE-{i}", 5 - i // 2) for i in range(5)], "type string, name string, mentions long")
+    page = lambda **k: [r.name for r in corpus.entity_page(rolled, "cve", size=2, **k).collect()]
+    assert [page(page=p) for p in (0, 1, 2, 3, 9)] == [["CVE-0", "CVE-1"], ["CVE-0", "CVE-1"], ["CVE-2", "CVE-3"], ["CVE-4"], ["CVE-4"]]
+    assert page(page=1, by="name", descending=False) == ["CVE-0", "CVE-1"] and corpus.entity_page(rolled, "none", size=2, page=3).count() == 0
+
+
+def test_islands_in_a_row_are_those_of_the_windows(spark):
+    import random
+
+    rng = random.Random(4)
+    text, rows = "abcdefghij" * 4, []
+    for _ in range(300):
+        a = rng.randrange(36)
+        rows.append((0, f"d{rng.randrange(40)}", rng.choice("xy"), a, a + rng.randrange(1, 4), rng.randrange(9) / 10))
+    df = spark.createDataFrame(rows, "ord int, id string, type string, start_pos int, end_pos int, score double")
+    want = {(r.id, r.type, r.start_pos, r.end_pos, r.score, text[r.start_pos : r.end_pos]) for r in entities.islands(df).collect()}
+    got = set()
+    for d in {r[1] for r in rows}:
+        own = [dict(type=r[2], start_pos=r[3], end_pos=r[4], score=r[5], value="") for r in rows if r[1] == d]
+        got |= {(d, e["type"], e["start_pos"], e["end_pos"], e["score"], e["value"]) for e in entities.joined_names(text, own)}
+    assert got == want
+    assert "Join" not in entities.ner(documents(spark, (None, "Emotet", None)))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_spans_open_every_gate_that_a_match_needs():
+    for t in _odd_texts() + ["CVſS: 9.8 é", "x.İO é.io", "CVSS:3.1/AV:N/AC:L/PR:N/UI:N/S:U/C:H/I:H/A:H"]:
+        for rx, may in zip([*entities._SIMPLE, *entities._CVSS], entities._may_hold(t)):
+            assert may or not rx.search(t), (rx.pattern, t)
+        assert {(e["type"], e["start_pos"], e["end_pos"]) for e in entities.names_of(t)} == {(k, *m.span()) for k, rx, _ in entities._NAMES for m in rx.finditer(t)}
