@@ -463,3 +463,13 @@ def test_spans_open_every_gate_that_a_match_needs():
         for rx, may in zip([*entities._SIMPLE, *entities._CVSS], entities._may_hold(t)):
             assert may or not rx.search(t), (rx.pattern, t)
         assert {(e["type"], e["start_pos"], e["end_pos"]) for e in entities.names_of(t)} == {(k, *m.span()) for k, rx, _ in entities._NAMES for m in rx.finditer(t)}
+
+
+def test_merged_entities_find_spans_and_names_in_one_pass(spark):
+    docs = documents(spark, (None, "see cisco.com, Cisco and LockBit at 1.2.3.4; lockbit again. MSFT, Microsoft", None), ("x", None, None))
+    plan = entities.merged(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_spans(") == 1 and plan.count("gazetteer(") == 1 and "Join" not in plan
+    rules = entities.spans(docs)
+    apart = {(r.type, r.value, r.start_pos) for r in rules.collect()} | {(r.type, r.value, r.start_pos) for r in entities.without_overlap(entities.ner(docs), rules).collect()}
+    got = {(r.type, r.value, r.start_pos) for r in entities.merged(docs).collect()}
+    assert got <= apart and {x[1] for x in apart - got} <= {"lockbit", "Microsoft", "MSFT", "LockBit"}
